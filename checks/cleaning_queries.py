@@ -290,7 +290,8 @@ def raw_users(spark, sf_dir):
     versions = load(spark, sf_dir, "customer").select(
         "c_custkey", F.posexplode(F.array(unusable, outdated, latest)).alias("version", "text")
     )
-    return B.as_bronze(versions, F.col("text"), F.col("c_custkey") * 3 + F.col("version"))
+    arrival = F.col("c_custkey") * 3 + F.col("version")
+    return B.as_bronze(versions, "user_id", F.col("c_custkey"), F.col("text"), arrival)
 
 
 SILVER_USERS_SQL = """
@@ -329,7 +330,7 @@ def _raw_flagged(table, key, names, balance, identity, label):
         "rating": rating,
         "is_active": active,
     })
-    return B.as_bronze(table, record, F.col(identity))
+    return B.as_bronze(table, key, F.col(identity), record, F.col(identity))
 
 
 def _flagged_sql(table, key, names, balance, identity, label):
@@ -351,26 +352,28 @@ RESTAURANT_CASE = (
 DRIVER_CASE = ("driver_id", ("driver_name", "vehicle_type"), "c_acctbal", "c_custkey", "c_name")
 
 
+def raw_restaurants(spark, sf_dir):
+    return _raw_flagged(load(spark, sf_dir, "supplier"), *RESTAURANT_CASE)
+
+
+def raw_drivers(spark, sf_dir):
+    return _raw_flagged(load(spark, sf_dir, "customer"), *DRIVER_CASE)
+
+
 @query("silver_restaurants", _flagged_sql("supplier", *RESTAURANT_CASE))
 def silver_restaurants(spark, sf_dir):
-    bronze = _raw_flagged(load(spark, sf_dir, "supplier"), *RESTAURANT_CASE)
+    bronze = raw_restaurants(spark, sf_dir)
     return _no_audit(cleaning.clean_entity(bronze, cleaning.RESTAURANTS, LOADED))
 
 
 @query("silver_drivers", _flagged_sql("customer", *DRIVER_CASE))
 def silver_drivers(spark, sf_dir):
-    bronze = _raw_flagged(load(spark, sf_dir, "customer"), *DRIVER_CASE)
+    bronze = raw_drivers(spark, sf_dir)
     return _no_audit(cleaning.clean_entity(bronze, cleaning.DRIVERS, LOADED))
 
 
-@query(
-    "silver_menu",
-    """SELECT CAST(p_partkey AS VARCHAR) AS item_id, p_brand AS restaurant_id, p_name AS item_name,
-       CASE WHEN p_type = 'LARGE' THEN 0.0 ELSE p_retailprice END AS price,
-       CAST(p_size > 25 AS BIGINT) AS is_available
-FROM part""",
-)
-def silver_menu(spark, sf_dir):
+def raw_menu_items(spark, sf_dir):
+    number = F.col("p_partkey")
     price = (
         F.when(F.col("p_type") == "PROMO", quoted(F.concat(_number("p_retailprice"), F.lit(" EUR"))))
         .when(F.col("p_type") == "LARGE", '"free"')
@@ -383,19 +386,23 @@ def silver_menu(spark, sf_dir):
         price=price,
         is_available=F.when(F.col("p_size") > 25, "true"),
     )
-    bronze = B.as_bronze(load(spark, sf_dir, "part"), record, F.col("p_partkey"))
-    return _no_audit(cleaning.clean_entity(bronze, cleaning.MENU_ITEMS, LOADED))
+    return B.as_bronze(load(spark, sf_dir, "part"), "item_id", number, record, number)
 
 
 @query(
-    "silver_payments",
-    """SELECT CAST(o_orderkey AS VARCHAR) AS payment_id, 'O' || CAST(o_orderkey AS VARCHAR) AS order_id,
-       upper(o_orderpriority) AS payment_method, o_orderstatus AS payment_status,
-       o_totalprice AS transaction_amount,
-       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS payment_timestamp
-FROM orders""",
+    "silver_menu",
+    """SELECT CAST(p_partkey AS VARCHAR) AS item_id, p_brand AS restaurant_id, p_name AS item_name,
+       CASE WHEN p_type = 'LARGE' THEN 0.0 ELSE p_retailprice END AS price,
+       CAST(p_size > 25 AS BIGINT) AS is_available
+FROM part""",
 )
-def silver_payments(spark, sf_dir):
+def silver_menu(spark, sf_dir):
+    bronze = raw_menu_items(spark, sf_dir)
+    return _no_audit(cleaning.clean_entity(bronze, cleaning.MENU_ITEMS, LOADED))
+
+
+def raw_payments(spark, sf_dir):
+    number = F.col("o_orderkey")
     amount = _number("o_totalprice")
     record = json_object(
         payment_id=quoted(_text("o_orderkey")),
@@ -407,7 +414,19 @@ def silver_payments(spark, sf_dir):
         ).otherwise(amount),
         payment_timestamp=quoted(F.date_format("o_orderdate", B.ISO)),
     )
-    bronze = B.as_bronze(load(spark, sf_dir, "orders"), record, F.col("o_orderkey"))
+    return B.as_bronze(load(spark, sf_dir, "orders"), "payment_id", number, record, number)
+
+
+@query(
+    "silver_payments",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS payment_id, 'O' || CAST(o_orderkey AS VARCHAR) AS order_id,
+       upper(o_orderpriority) AS payment_method, o_orderstatus AS payment_status,
+       o_totalprice AS transaction_amount,
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS payment_timestamp
+FROM orders""",
+)
+def silver_payments(spark, sf_dir):
+    bronze = raw_payments(spark, sf_dir)
     return _no_audit(cleaning.clean_entity(bronze, cleaning.PAYMENTS, LOADED))
 
 
@@ -448,7 +467,8 @@ def raw_orders(spark, sf_dir, state_totals=True):
     versions = load(spark, sf_dir, "orders").select(
         "o_orderkey", F.posexplode(F.array(first, second)).alias("version", "text")
     )
-    return B.as_bronze(versions, F.col("text"), F.col("o_orderkey") * 2 + F.col("version"))
+    arrival = F.col("o_orderkey") * 2 + F.col("version")
+    return B.as_bronze(versions, "order_id", F.col("o_orderkey"), F.col("text"), arrival)
 
 
 @query(
@@ -510,6 +530,16 @@ def unnest_items(spark, sf_dir):
     return _no_audit(cleaning.unnest_items(orders))
 
 
+RAW_ENTITIES = {
+    "users": raw_users,
+    "restaurants": raw_restaurants,
+    "drivers": raw_drivers,
+    "menu_items": raw_menu_items,
+    "orders": raw_orders,
+    "payments": raw_payments,
+}
+
+
 # -- raw records to marts --------------------------------------------------------------------
 
 RAW_ORDERS_SQL = """

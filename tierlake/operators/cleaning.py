@@ -106,13 +106,20 @@ PAYMENTS = Cleaning(
 
 
 def clean_entity(bronze: DataFrame, cleaning: Cleaning, processed_at: datetime) -> DataFrame:
-    """Latest record of each key with its rules applied; records without a key are left out."""
-    schema = J.record_schema([cleaning.key, *cleaning.texts], cleaning.variants)
-    parsed = bronze.select("record_id", F.from_json("raw_json", schema).alias("r"))
+    """Latest record of each key with its rules applied; records without a key are left out.
+
+    The key comes from the bronze id column, so records without one are skipped in
+    the scan and the text is parsed once.
+    """
+    key = F.col(f"raw_{cleaning.key}")
+    schema = J.record_schema(cleaning.texts, cleaning.variants)
+    parsed = bronze.where(key.isNotNull()).select(
+        "record_id", key.alias(cleaning.key), F.from_json("raw_json", schema).alias("r")
+    )
     rules = {**cleaning.texts, **cleaning.variants}
-    rows = parsed.where(F.col(f"r.{cleaning.key}").isNotNull()).select(
+    rows = parsed.select(
         "record_id",
-        F.col(f"r.{cleaning.key}").alias(cleaning.key),
+        cleaning.key,
         *[rule(F.col(f"r.{name}")).alias(name) for name, rule in rules.items()],
     )
     latest = keep_latest(rows, [cleaning.key], ["record_id"]).drop("record_id")
@@ -129,29 +136,32 @@ def clean_orders(bronze: DataFrame, processed_at: datetime) -> DataFrame:
         ["order_id", "order_status", "subtotal", "tax", "delivery_fee", "discount",
          "total_amount", "items"],
     )
-    parsed = bronze.select("record_id", F.from_json("raw_json", schema).alias("r"))
+    # An id of 0 or false reads like a quoted one in the bronze column, so its kind is
+    # looked up too. Expanding the parsed record keeps that filter from parsing it again.
+    written = F.col("raw_order_id")
+    parsed = (
+        bronze.where(written.isNotNull() & (written != ""))
+        .select("record_id", F.inline(F.array(F.from_json("raw_json", schema))))
+        .where(~J.is_falsy(F.col("order_id")))
+    )
     zero = F.lit(0).cast(N.MONEY)
     parts = ["subtotal", "tax", "delivery_fee", "discount"]
     rows = (
-        parsed.where(~J.is_falsy(F.col("r.order_id")))
-        .select(
+        parsed.select(
             "record_id",
-            J.text_of(F.col("r.order_id")).alias("order_id"),
-            "r.user_id",
-            "r.restaurant_id",
-            "r.driver_id",
+            J.text_of(F.col("order_id")).alias("order_id"),
+            "user_id",
+            "restaurant_id",
+            "driver_id",
             J.when_missing(
-                F.col("r.order_status"),
+                F.col("order_status"),
                 F.lit("UNKNOWN"),
-                S.unicode_upper(J.string_only(F.col("r.order_status"))),
+                S.unicode_upper(J.string_only(F.col("order_status"))),
             ).alias("order_status"),
-            "r.order_timestamp",
-            *[
-                J.when_missing(F.col(f"r.{p}"), zero, J.strict_money(F.col(f"r.{p}"))).alias(p)
-                for p in parts
-            ],
-            F.col("r.total_amount").alias("total_amount"),
-            line_items(F.col("r.items")).alias("items"),
+            "order_timestamp",
+            *[J.when_missing(F.col(p), zero, J.strict_money(F.col(p))).alias(p) for p in parts],
+            "total_amount",
+            line_items(F.col("items")).alias("items"),
         )
         .withColumn(
             "total_amount",
