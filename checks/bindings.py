@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierlake.sources.files import total_bytes
+
+SPLIT_BYTES = 128 * 1024**2
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
@@ -14,6 +17,17 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def load_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for row-wise JSON work; one that is smaller than the cores can share is spread.
+
+    A large table has splits enough and is not shuffled.
+    """
+    df = load(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    small = total_bytes(spark, f"{sf_dir}/{name}.parquet") < cores * SPLIT_BYTES
+    return df.repartition(cores) if small else df
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles and integers as longs, for comparison across engines."""
     def cast(field: T.StructField) -> Column:

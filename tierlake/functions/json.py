@@ -44,17 +44,12 @@ def elements(v: Column) -> Column:
 def is_falsy(v: Column) -> Column:
     """Absent, null, false, zero, empty string, empty array or empty object."""
     written = F.to_json(v)
-    return (
-        is_missing(v)
-        | written.isin("null", "false", '""', "[]", "{}")
-        | F.coalesce(written.try_cast("double") == 0, F.lit(False))
-    )
+    return is_missing(v) | written.isin("null", "false", '""', "[]", "{}", "0", "0.0", "-0.0")
 
 
 def flag(v: Column) -> Column:
     """1 for a bare true or a number equal to one, else 0 (absent and quoted values too)."""
-    written = F.to_json(v)
-    return F.when((written == "true") | (written.try_cast("double") == 1), 1).otherwise(0)
+    return F.when(F.to_json(v).isin("true", "1", "1.0"), 1).otherwise(0)
 
 
 def real_text(v: Column) -> Column:

@@ -136,20 +136,22 @@ def clean_orders(bronze: DataFrame, processed_at: datetime) -> DataFrame:
         ["order_id", "order_status", "subtotal", "tax", "delivery_fee", "discount",
          "total_amount", "items"],
     )
-    # An id of 0 or false reads like a quoted one in the bronze column, so its kind is
-    # looked up too. Expanding the parsed record keeps that filter from parsing it again.
+    # An id of 0 or false reads like a quoted one in the bronze column, so the kind of
+    # such ids is looked up too. Expanding the parsed record keeps that filter from
+    # parsing it again.
     written = F.col("raw_order_id")
+    suspect = F.substring(written, 1, 1).isin("0", "-", "f", "[", "{")
     parsed = (
         bronze.where(written.isNotNull() & (written != ""))
-        .select("record_id", F.inline(F.array(F.from_json("raw_json", schema))))
-        .where(~J.is_falsy(F.col("order_id")))
+        .select("record_id", "raw_order_id", F.inline(F.array(F.from_json("raw_json", schema))))
+        .where(~(suspect & J.is_falsy(F.col("order_id"))))
     )
     zero = F.lit(0).cast(N.MONEY)
     parts = ["subtotal", "tax", "delivery_fee", "discount"]
     rows = (
         parsed.select(
             "record_id",
-            J.text_of(F.col("order_id")).alias("order_id"),
+            F.col("raw_order_id").alias("order_id"),
             "user_id",
             "restaurant_id",
             "driver_id",
