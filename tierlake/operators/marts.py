@@ -34,9 +34,13 @@ def daily_restaurant_sales(orders: DataFrame, restaurants: DataFrame) -> DataFra
         cents(F.sum("total_amount")).alias("gross_revenue"),
         cents(_delivered_amount()).alias("net_revenue"),
     )
-    names = restaurants.select("restaurant_id", "restaurant_name", "city")
     # The order value divides the revenue after rounding.
-    return per_day.join(names, "restaurant_id").select(
+    rated = per_day.withColumns({
+        "avg_order_value": ratio(F.col("net_revenue"), F.col("completed_orders")),
+        "cancellation_rate": percentage(F.col("cancelled_orders"), F.col("total_orders")),
+    })
+    names = restaurants.select("restaurant_id", "restaurant_name", "city")
+    return rated.join(names, "restaurant_id").select(
         "order_date",
         "restaurant_id",
         "restaurant_name",
@@ -46,8 +50,8 @@ def daily_restaurant_sales(orders: DataFrame, restaurants: DataFrame) -> DataFra
         "cancelled_orders",
         "gross_revenue",
         "net_revenue",
-        ratio(F.col("net_revenue"), F.col("completed_orders")).alias("avg_order_value"),
-        percentage(F.col("cancelled_orders"), F.col("total_orders")).alias("cancellation_rate"),
+        "avg_order_value",
+        "cancellation_rate",
     )
 
 
