@@ -36,8 +36,8 @@ FROM {child} x WHERE NOT EXISTS (
 
 @query(
     "pk_audit",
-    """SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem
-GROUP BY 1, 2 HAVING count(*) > 1""",
+    """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS rows
+FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
 )
 def pk_audit(spark, sf_dir):
     lines = load(spark, sf_dir, "lineitem")

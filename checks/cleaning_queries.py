@@ -217,7 +217,8 @@ def null_defaults(spark, sf_dir):
 
 @query(
     "line_total",
-    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT) AS quantity,
+    """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey,
+       CAST(l_quantity AS BIGINT) AS quantity,
        CAST(round(CAST(l_quantity AS DECIMAL(18,0))
             * CAST(l_extendedprice / l_quantity AS DECIMAL(18,4)), 2) AS DOUBLE) AS total_price
 FROM lineitem""",
