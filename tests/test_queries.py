@@ -3,9 +3,9 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from checks.catalog import ORACLES, QUERIES
 from checks.compare import connect, mismatch
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
