@@ -18,7 +18,7 @@ from tierlake.llm.runtime import prepare, stored
 BLOCK, ROW_BITS, QUERY_BITS = 8192, 6, 8
 #: Queries that travel to a block together, and that are added up together.
 QUERY_BLOCK, TOGETHER = 2048, 64
-INDEX = "block long, n int, width int, shift int, ids binary, none binary, low binary, slices binary, vectors binary"
+INDEX = "n long, width long, shift long, ids binary, none binary, slices binary, vectors binary"
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -69,7 +69,7 @@ def build_index(rows: DataFrame, scale: int = 1024, key: str = "vec_id", vector:
         if sum(map(len, held)):
             yield result()
 
-    packed = valid.repartition(blocks).mapInArrow(block, INDEX.replace("block long, ", ""))
+    packed = valid.repartition(blocks).mapInArrow(block, INDEX)
     return stored(packed.withColumn("block", F.monotonically_increasing_id()), "bit-slices")
 
 
@@ -87,7 +87,7 @@ def _block(keys: np.ndarray, none: np.ndarray, x: np.ndarray) -> dict:
         slices[:, bit, :len(packed)] = packed.T
     return {
         "n": n, "width": width, "shift": shift, "ids": keys.tobytes(), "none": none.tobytes(),
-        "low": low.tobytes(), "slices": slices.tobytes(), "vectors": x.astype(np.int32).tobytes(),
+        "slices": slices.tobytes(), "vectors": x.astype(np.int32).tobytes(),
     }
 
 
