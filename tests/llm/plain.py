@@ -1,0 +1,104 @@
+"""Plain versions of the operators, for small inputs."""
+
+import base64
+import hashlib
+import re
+from collections import defaultdict
+
+import xxhash
+
+BLANKS = re.compile(r"[^\x20\x09-\x0D]+")
+LICENCE_WORDS = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+PHRASES = {
+    "gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit",
+}
+
+
+def ascii_lower(text):
+    return re.sub("[A-Z]", lambda m: m.group().lower(), text)
+
+
+def base_licences(text):
+    words = LICENCE_WORDS.findall(ascii_lower(text or ""))
+    found = []
+    for phrase, label in PHRASES.items():
+        parts = phrase.split()
+        found += [(i, label) for i in range(len(words)) if words[i:i + len(parts)] == parts]
+    return len(words), sorted(found)
+
+
+def simhash(text, shingle=4):
+    words = BLANKS.findall(ascii_lower(text or ""))
+    if not words:
+        return 0
+    parts = [" ".join(words[i:i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def groups(prints, distance=4):
+    """Index of the group of each fingerprint."""
+    root = list(range(len(prints)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(prints):
+        for j in range(i):
+            if (a ^ prints[j]).bit_count() <= distance:
+                root[find(i)] = find(j)
+    return [find(i) for i in range(len(prints))]
+
+
+def remove_repeats(docs, width=20):
+    """(id, text) pairs of distinct ids -> words and kept words by id."""
+    seen, out = set(), {}
+    for key, text in sorted(docs):
+        words = BLANKS.findall(text or "")
+        gone = set()
+        for i in range(len(words) - width + 1):
+            window = tuple(words[i:i + width])
+            if window in seen:
+                gone.update(range(i, i + width))
+            seen.add(window)
+        out[key] = (words, [w for i, w in enumerate(words) if i not in gone])
+    return out
+
+
+def sequences(pieces):
+    """Pieces (sequence, offset, length, ...) by sequence, in order."""
+    by = defaultdict(list)
+    for p in pieces:
+        by[p[0]].append(p)
+    return {s: sorted(own, key=lambda p: p[1]) for s, own in by.items()}
+
+
+def digest(payload):
+    return base64.b32encode(hashlib.sha1(payload).digest()).decode()
+
+
+def viterbi(model, text):
+    """Best ids by trying all pieces at all places; ties go to the longer last piece."""
+    if not text:
+        return []
+    marked = ("▁" if model.dummy_prefix else "") + text.replace(" ", "▁")
+    usable = {model.pieces[i]: (i, float(model.usable[n])) for n, i in enumerate(model.inner)}
+    best = [(0.0, 0, [])] + [None] * len(marked)
+    for end in range(1, len(marked) + 1):
+        for start in range(end):
+            piece = marked[start:end]
+            if piece in usable:
+                ids, score = [usable[piece][0]], usable[piece][1]
+            elif end - start == 1:
+                ids, score = [int(model.byte_ids[b]) for b in piece.encode()], model.unknown_score
+            else:
+                continue
+            total = best[start][0] + score
+            if best[end] is None or total > best[end][0]:
+                best[end] = (total, start, ids)
+    out, at = [], len(marked)
+    while at:
+        out, at = best[at][2] + out, best[at][1]
+    return out

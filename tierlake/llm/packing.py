@@ -26,9 +26,10 @@ RUN_DDL = (
 def shortest_pack_first(histogram: dict[int, int], size: int) -> list[tuple[int, tuple[int, ...]]]:
     """Packing patterns as (how many sequences, lengths of their pieces), for counts per length.
 
-    Lengths are placed longest first. All pieces of a length go to the patterns with most room, as
-    many at a time as the pattern has sequences; where no pattern has room, new sequences begin.
-    Work and result depend on the number of distinct lengths, not on the number of pieces.
+    Lengths are placed longest first, each piece into the shortest sequence, that with most room.
+    Pieces of a length are placed many at a time: one in every sequence of the pattern with most
+    room, or, where no sequence has room, as many as fit into each of new ones. The work depends
+    on the number of distinct lengths, not on the number of pieces.
     """
     open_packs: dict[int, list] = defaultdict(list)  # room -> [(sequences, lengths)]
     rooms: list[int] = []  # heap of negative rooms
@@ -57,7 +58,10 @@ def shortest_pack_first(histogram: dict[int, int], size: int) -> list[tuple[int,
                 put(used, (*lengths, length), room - length)
                 left -= used
             else:
-                put(left, (length,), size - length)
+                fit = size // length
+                for n, count in ((left // fit, fit), (1, left % fit)):
+                    if n and count:
+                        put(n, (length,) * count, size - count * length)
                 left = 0
     return done + [pack for packs in open_packs.values() for pack in packs]
 
