@@ -19,10 +19,15 @@ def record_schema(text_fields=(), variant_fields=()) -> T.StructType:
 
 def array_elements(text: Column) -> Column:
     """Element texts of a JSON array; a single NULL when the text is not one array."""
-    # The outer brackets make text after the array's end a parse error.
-    outer = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<array<string>>")
-    whole = (F.size(outer) == 1) & outer[0].isNotNull()
-    return F.when(whole, outer[0]).otherwise(F.array(F.lit(None).cast("string")))
+    # The outer brackets make text after the array's end a parse error. The array around
+    # the result lets a function look at it several times and the text be parsed once.
+    parsed = F.array(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<array<string>>"))
+    refused = F.array(F.lit(None).cast("string"))
+
+    def whole(outer: Column) -> Column:
+        return F.when((F.size(outer) == 1) & outer[0].isNotNull(), outer[0]).otherwise(refused)
+
+    return F.flatten(F.transform(parsed, whole))
 
 
 def is_missing(v: Column) -> Column:
