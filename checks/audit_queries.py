@@ -155,6 +155,43 @@ def distinct_audit(spark, sf_dir):
     return audits.distinct_count(B.users(spark, sf_dir), "city")
 
 
+AUDITED_KEYS = {"customer": ["c_custkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"]}
+AUDITED_REQUIRED = {"customer": ["c_name"], "labels": ["quality", "toxic"]}
+AUDITED_AMOUNTS = (("customer", "c_acctbal"), ("lineitem", "l_discount"))
+AUDITED_CODES = (("orders", "o_orderstatus"), ("events", "event_type"))
+
+
+def _report_sql() -> str:
+    def one(audit, table, subject, found):
+        return f"SELECT '{audit}' AS audit, '{table}' AS table_name, '{subject}' AS subject, CAST({found} AS BIGINT) AS found"
+
+    parts = []
+    for t in TABLES:
+        parts.append(f"{one('rows', t, '*', 'count(*)')} FROM {t}")
+        parts += [f"{one('nulls', t, c, f'count(*) FILTER ({c} IS NULL)')} FROM {t}" for c in AUDITED_REQUIRED.get(t, ())]
+        parts += [
+            f"""{one('empty_keys', t, c, f"count(*) FILTER ({c} IS NULL OR CAST({c} AS VARCHAR) = '')")} FROM {t}"""
+            for c in AUDITED_KEYS.get(t, ())
+        ]
+    parts += [f"{one('non_positive', t, c, f'count(*) FILTER ({c} <= 0)')} FROM {t}" for t, c in AUDITED_AMOUNTS]
+    parts += [f"{one('not_upper', t, c, f'count(*) FILTER (upper({c}) <> {c})')} FROM {t}" for t, c in AUDITED_CODES]
+    for t, keys in AUDITED_KEYS.items():
+        names = ",".join(keys)
+        parts.append(f"{one('duplicate_keys', t, names, f'count(*) - count(DISTINCT ({names}))')} FROM {t}")
+    for child, column, parent, key in RELATIONS:
+        missing = f"{column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {parent})"
+        parts.append(f"{one('orphans', child, column, f'count(*) FILTER ({missing})')} FROM {child}")
+    return " UNION ALL ".join(parts)
+
+
+@query("audit_report", _report_sql())
+def audit_report(spark, sf_dir):
+    return audits.report(
+        {t: load(spark, sf_dir, t) for t in TABLES}, AUDITED_REQUIRED, AUDITED_KEYS,
+        tuple(RELATIONS), AUDITED_AMOUNTS, AUDITED_CODES,
+    )
+
+
 @query(
     "layer_row_counts",
     " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in TABLES),

@@ -7,9 +7,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierlake.sources.files import total_bytes
-
-SPLIT_BYTES = 128 * 1024**2
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
@@ -17,17 +14,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def load_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table for row-wise JSON work; one that is smaller than the cores can share is spread.
-
-    A large table has splits enough and is not shuffled.
-    """
-    df = load(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    small = total_bytes(spark, f"{sf_dir}/{name}.parquet") < cores * SPLIT_BYTES
-    return df.repartition(cores) if small else df
-
-
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles and integers as longs, for comparison across engines."""
     def cast(field: T.StructField) -> Column:
@@ -52,7 +38,7 @@ def status(column: str, delivered: str, cancelled: str) -> Column:
     )
 
 
-def orders(spark, sf_dir) -> DataFrame:
+def orders(spark, sf_dir, amount: Column | None = None) -> DataFrame:
     """Orders; the customer stands for the user and for the restaurant."""
     return load(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
@@ -60,10 +46,16 @@ def orders(spark, sf_dir) -> DataFrame:
         F.col("o_custkey").alias("restaurant_id"),
         status("o_orderstatus", "F", "P").alias("order_status"),
         F.date_format("o_orderdate", ISO).alias("order_timestamp"),
-        money("o_totalprice").alias("total_amount"),
+        (money("o_totalprice") if amount is None else amount).alias("total_amount"),
     )
 
 
+def fine_orders(spark, sf_dir) -> DataFrame:
+    """Orders with amounts of four decimals."""
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    return orders(spark, sf_dir, (price / 1000).cast("decimal(18,4)"))
+
+
 def deliveries(spark, sf_dir) -> DataFrame:
     """Line items as orders of a restaurant that a driver delivers; both are the supplier."""
     return load(spark, sf_dir, "lineitem").select(

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from checks import bindings as B
 from checks import mart_queries as M
-from checks.bindings import json_object, load, load_spread, plain, quoted
+from checks.bindings import json_object, load, plain, quoted
 from checks.catalog import query
 from tierlake.functions import json as J
 from tierlake.functions import numeric as N
 from tierlake.functions import text as S
 from tierlake.operators import cleaning, dedup, marts
+from tierlake.session import REQUIRED
 from tierlake.sources import raw_json
 
 LOADED = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -44,7 +45,7 @@ def _no_audit(df):
 )
 def json_field_extract(spark, sf_dir):
     schema = J.record_schema(["absent"], ["k"])
-    parsed = load_spread(spark, sf_dir, "events").select(
+    parsed = load(spark, sf_dir, "events").select(
         "event_id", F.from_json("props", schema).alias("r")
     )
     return parsed.select("event_id", J.strict_int(F.col("r.k")).alias("k"), "r.absent")
@@ -58,7 +59,7 @@ def json_field_extract(spark, sf_dir):
 FROM lineitem""",
 )
 def bronze_roundtrip(spark, sf_dir):
-    lines = load_spread(spark, sf_dir, "lineitem")
+    lines = load(spark, sf_dir, "lineitem")
     record = F.struct(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("part"),
         F.col("l_quantity").alias("quantity"), F.col("l_shipdate").alias("shipped"),
@@ -91,12 +92,14 @@ def bronze_array_scan(spark, sf_dir):
         identity = quoted(F.concat(_text("o_orderkey"), F.lit(f"/{pos}")))
         return json_object(order_id=identity, amount=_number("o_totalprice"), extra="[1, {}]")
 
-    texts = load_spread(spark, sf_dir, "orders").select(
+    texts = load(spark, sf_dir, "orders").select(
         _text("o_orderkey").alias("path"), F.lit(0).alias("block"),
         F.lit("orders.json").alias("source_file"),
         _json_array([element(pos) for pos in range(4)]).alias("value"),
     )
-    bronze = raw_json.bronze_rows(raw_json.split_arrays(texts), "order_id", LOADED)
+    elements = F.posexplode(J.array_elements(F.col("value"))).alias("row", "value")
+    records = texts.select("path", "block", "source_file", elements)
+    bronze = raw_json.bronze_rows(records, "order_id", LOADED)
     return bronze.select(
         F.col("record_id.path").alias("path"), F.col("record_id.row").alias("row"),
         "raw_order_id", F.from_json("raw_json", "amount double")["amount"].alias("amount"),
@@ -126,7 +129,7 @@ FROM documents""",
 )
 def text_normalize(spark, sf_dir):
     trimmed = S.trim_spaces(F.col("text"))
-    return load_spread(spark, sf_dir, "documents").select(
+    return load(spark, sf_dir, "documents").select(
         "doc_id",
         F.md5(S.ascii_lower(trimmed)).alias("lowered"),
         F.md5(S.ascii_upper(trimmed)).alias("raised"),
@@ -155,7 +158,7 @@ def cast_real_prefix(spark, sf_dir):
         "exponent": F.concat(F.lit("-"), value, F.lit("e1x")),
         "unknown": F.lit(None).cast("string"),
     }
-    return load_spread(spark, sf_dir, "events").select(
+    return load(spark, sf_dir, "events").select(
         "event_id", *[N.real_prefix(c).alias(name) for name, c in texts.items()]
     )
 
@@ -175,7 +178,7 @@ def json_bool_flag(spark, sf_dir):
         bare=bare, quoted=quoted(bare), number=k, decimal=F.concat(k, F.lit(".0")),
         digits=quoted(k), nothing="null",
     )
-    parsed = load_spread(spark, sf_dir, "events").select(
+    parsed = load(spark, sf_dir, "events").select(
         "event_id", F.from_json(text, J.record_schema(variant_fields=names)).alias("r")
     )
     return plain(parsed.select("event_id", *[J.flag(F.col(f"r.{n}")).alias(n) for n in names]))
@@ -203,7 +206,7 @@ def null_defaults(spark, sf_dir):
     )
     text = json_object(phone=given, city=given, status=given)
     schema = J.record_schema(["city"], ["phone", "status"])
-    parsed = load_spread(spark, sf_dir, "events").select("event_id", F.from_json(text, schema).alias("r"))
+    parsed = load(spark, sf_dir, "events").select("event_id", F.from_json(text, schema).alias("r"))
     phone, status = F.col("r.phone"), F.col("r.status")
     return parsed.select(
         "event_id",
@@ -288,7 +291,7 @@ def raw_users(spark, sf_dir):
         user_id=user_id, full_name='"Old"', email='"old@x.com"', registered_at='"2020"'
     )
     unusable = json_object(user_id=user_id, full_name="null")
-    versions = load_spread(spark, sf_dir, "customer").select(
+    versions = load(spark, sf_dir, "customer").select(
         "c_custkey", F.posexplode(F.array(unusable, outdated, latest)).alias("version", "text")
     )
     arrival = F.col("c_custkey") * 3 + F.col("version")
@@ -354,11 +357,11 @@ DRIVER_CASE = ("driver_id", ("driver_name", "vehicle_type"), "c_acctbal", "c_cus
 
 
 def raw_restaurants(spark, sf_dir):
-    return _raw_flagged(load_spread(spark, sf_dir, "supplier"), *RESTAURANT_CASE)
+    return _raw_flagged(load(spark, sf_dir, "supplier"), *RESTAURANT_CASE)
 
 
 def raw_drivers(spark, sf_dir):
-    return _raw_flagged(load_spread(spark, sf_dir, "customer"), *DRIVER_CASE)
+    return _raw_flagged(load(spark, sf_dir, "customer"), *DRIVER_CASE)
 
 
 @query("silver_restaurants", _flagged_sql("supplier", *RESTAURANT_CASE))
@@ -387,7 +390,7 @@ def raw_menu_items(spark, sf_dir):
         price=price,
         is_available=F.when(F.col("p_size") > 25, "true"),
     )
-    return B.as_bronze(load_spread(spark, sf_dir, "part"), "item_id", number, record, number)
+    return B.as_bronze(load(spark, sf_dir, "part"), "item_id", number, record, number)
 
 
 @query(
@@ -415,7 +418,7 @@ def raw_payments(spark, sf_dir):
         ).otherwise(amount),
         payment_timestamp=quoted(F.date_format("o_orderdate", B.ISO)),
     )
-    return B.as_bronze(load_spread(spark, sf_dir, "orders"), "payment_id", number, record, number)
+    return B.as_bronze(load(spark, sf_dir, "orders"), "payment_id", number, record, number)
 
 
 @query(
@@ -465,7 +468,7 @@ def raw_orders(spark, sf_dir, state_totals=True):
         total_amount=F.when((status == "F") & F.lit(state_totals), amount),
     )
     second = json_object(order_id=identity, order_status="null", total_amount='"wrong"')
-    versions = load_spread(spark, sf_dir, "orders").select(
+    versions = load(spark, sf_dir, "orders").select(
         "o_orderkey", F.posexplode(F.array(first, second)).alias("version", "text")
     )
     arrival = F.col("o_orderkey") * 2 + F.col("version")
@@ -564,8 +567,8 @@ sales AS (
 def raw_to_user_ltv(spark, sf_dir):
     users = cleaning.clean_entity(raw_users(spark, sf_dir), cleaning.USERS, LOADED)
     orders = cleaning.clean_orders(raw_orders(spark, sf_dir), LOADED)
-    by_user = marts.orders_by_user(orders)
-    return plain(marts.user_analytics(users, by_user, vip_orders=15, vip_spend=2500000))
+    totals = marts.user_totals(users, orders)
+    return plain(marts.user_analytics(totals, vip_orders=15, vip_spend=2500000))
 
 
 @query(
@@ -577,7 +580,31 @@ def raw_to_user_ltv(spark, sf_dir):
 )
 def raw_to_daily_sales(spark, sf_dir):
     shop_case = ("restaurant_id", ("restaurant_name", "cuisine_type"), *DRIVER_CASE[2:])
-    bronze = _raw_flagged(load_spread(spark, sf_dir, "customer"), *shop_case)
+    bronze = _raw_flagged(load(spark, sf_dir, "customer"), *shop_case)
     restaurants = cleaning.clean_entity(bronze, cleaning.RESTAURANTS, LOADED)
     orders = cleaning.clean_orders(raw_orders(spark, sf_dir), LOADED)
     return plain(marts.daily_restaurant_sales(orders, restaurants))
+
+
+@query(
+    "json_repeated_member",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(2 AS BIGINT) AS quantity,
+       CAST(round(CAST(o_totalprice AS DECIMAL(18,2)) * 2, 2) AS DOUBLE) AS total_price
+FROM orders""",
+)
+def json_repeated_member(spark, sf_dir):
+    """Line items whose quantity is written twice; the last value counts."""
+    for key, value in REQUIRED.items():
+        spark.conf.set(key, value)
+    rows = load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.format_string(
+            '{"order_id":"%s","user_id":"u","restaurant_id":"r","order_timestamp":"t","items":[{"item_id":"a",'
+            '"quantity":1,"quantity":2,"unit_price":%s}]}',
+            F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("decimal(18,2)").cast("string"),
+        ).alias("record"),
+    )
+    key = F.col("order_id")
+    bronze = B.as_bronze(rows, "order_id", key, F.col("record"), key)
+    items = cleaning.unnest_items(cleaning.clean_orders(bronze, LOADED))
+    return plain(items.select("order_id", "quantity", "total_price"))

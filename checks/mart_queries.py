@@ -21,6 +21,12 @@ sales AS (
   FROM orders
 )"""
 
+# Amounts with four decimals, so that a mart that divides before it rounds differs.
+FINE_ORDERS_SQL = ORDERS_SQL.replace(
+    "CAST(o_totalprice AS DECIMAL(18,2))",
+    "CAST(CAST(o_totalprice AS DECIMAL(18,2)) / 1000 AS DECIMAL(18,4))",
+)
+
 EVENT_ORDERS_SQL = """
 sales AS (
   SELECT event_id AS order_id, user_id, user_id AS driver_id,
@@ -52,35 +58,29 @@ CUSTOMER_SHOPS_SQL = """
 shops AS (SELECT user_id AS restaurant_id, full_name AS restaurant_name, city FROM users)"""
 
 DAILY_SQL = """
-daily AS (
-  SELECT substr(s.order_timestamp, 1, 10) AS order_date, r.restaurant_id, r.restaurant_name,
-         r.city, CAST(count(s.order_id) AS BIGINT) AS total_orders,
-         CAST(sum(CASE WHEN s.order_status = 'DELIVERED' THEN 1 ELSE 0 END) AS BIGINT)
-           AS completed_orders,
-         CAST(sum(CASE WHEN s.order_status = 'CANCELLED' THEN 1 ELSE 0 END) AS BIGINT)
-           AS cancelled_orders,
-         sum(s.total_amount) AS gross,
-         sum(CASE WHEN s.order_status = 'DELIVERED' THEN s.total_amount ELSE 0 END) AS net
-  FROM sales s JOIN shops r ON s.restaurant_id = r.restaurant_id
-  GROUP BY 1, 2, 3, 4
+per_day AS (
+  SELECT restaurant_id, substr(order_timestamp, 1, 10) AS order_date, count(*) AS n,
+         count(*) FILTER (order_status = 'DELIVERED') AS done,
+         count(*) FILTER (order_status = 'CANCELLED') AS dropped,
+         round(sum(total_amount), 2) AS gross,
+         round(coalesce(sum(total_amount) FILTER (order_status = 'DELIVERED'), 0), 2) AS net
+  FROM sales GROUP BY ALL
 ),
 mart AS (
-  SELECT order_date, restaurant_id, restaurant_name, city, total_orders, completed_orders,
-         cancelled_orders, CAST(gross AS DOUBLE) AS gross_revenue,
-         CAST(net AS DOUBLE) AS net_revenue,
-         CAST(CASE WHEN completed_orders > 0
-              THEN round(CAST(net / completed_orders AS DECIMAL(38,10)), 2) ELSE 0 END AS DOUBLE)
-           AS avg_order_value,
-         CAST(round(CAST(100.0 * cancelled_orders / total_orders AS DECIMAL(38,10)), 2) AS DOUBLE)
+  SELECT order_date, restaurant_id, restaurant_name, city, n AS total_orders,
+         done AS completed_orders, dropped AS cancelled_orders,
+         CAST(gross AS DOUBLE) AS gross_revenue, CAST(net AS DOUBLE) AS net_revenue,
+         CAST(CASE WHEN done > 0 THEN round(CAST(net / done AS DECIMAL(38,10)), 2) ELSE 0 END
+              AS DOUBLE) AS avg_order_value,
+         CAST(round(CAST(100.0 * dropped / n AS DECIMAL(38,10)), 2) AS DOUBLE)
            AS cancellation_rate
-  FROM daily
+  FROM per_day JOIN shops USING (restaurant_id)
 )"""
 
 LTV_SQL = """
 totals AS (
   SELECT u.user_id, u.full_name, u.city, CAST(count(s.order_id) AS BIGINT) AS total_orders,
-         coalesce(sum(CASE WHEN s.order_status = 'DELIVERED' THEN s.total_amount ELSE 0 END), 0)
-           AS spend,
+         round(coalesce(sum(s.total_amount) FILTER (s.order_status = 'DELIVERED'), 0), 2) AS spend,
          min(s.order_timestamp) AS first_order_date, max(s.order_timestamp) AS last_order_date
   FROM users u LEFT JOIN sales s ON u.user_id = s.user_id
   GROUP BY 1, 2, 3
@@ -94,24 +94,23 @@ SELECT user_id, full_name, city, total_orders, CAST(spend AS DOUBLE) AS total_sp
             WHEN total_orders >= 1 THEN 'ACTIVE_REGULAR' ELSE 'NEW_INACTIVE' END AS rfm_segment
 FROM totals"""
 
-CITY_SQL = """
-SELECT city, total_restaurants, total_active_users, total_drivers, total_orders,
-       CAST(revenue AS DOUBLE) AS total_city_revenue,
-       CAST(CASE WHEN total_orders > 0
-            THEN round(CAST(revenue / total_orders AS DECIMAL(38,10)), 2) ELSE 0 END AS DOUBLE)
-         AS avg_order_value
-FROM (
-  SELECT c.city,
-         (SELECT count(*) FROM shops r WHERE r.city = c.city) AS total_restaurants,
-         (SELECT count(*) FROM users u WHERE u.city = c.city) AS total_active_users,
-         (SELECT count(*) FROM riders d WHERE d.city = c.city) AS total_drivers,
-         (SELECT count(*) FROM sales o JOIN users u ON o.user_id = u.user_id
-          WHERE u.city = c.city) AS total_orders,
-         (SELECT coalesce(sum(o.total_amount), 0) FROM sales o JOIN users u
-            ON o.user_id = u.user_id
-          WHERE u.city = c.city AND o.order_status = 'DELIVERED') AS revenue
-  FROM (SELECT city FROM users UNION SELECT city FROM shops) c
-)"""
+CITY_SQL = """,
+kitchens AS (SELECT city, count(*) AS n FROM shops GROUP BY city),
+crews AS (SELECT city, count(*) AS n FROM riders GROUP BY city),
+people AS (SELECT city, count(*) AS n FROM users GROUP BY city),
+bought AS (
+  SELECT city, count(*) AS n,
+         round(coalesce(sum(total_amount) FILTER (order_status = 'DELIVERED'), 0), 2) AS revenue
+  FROM sales JOIN users USING (user_id) GROUP BY city
+),
+markets AS (SELECT city FROM kitchens UNION SELECT city FROM people)
+SELECT city, coalesce(kitchens.n, 0) AS total_restaurants, coalesce(people.n, 0) AS total_active_users,
+       coalesce(crews.n, 0) AS total_drivers, coalesce(bought.n, 0) AS total_orders,
+       CAST(coalesce(revenue, 0) AS DOUBLE) AS total_city_revenue,
+       CAST(CASE WHEN bought.n > 0 THEN round(CAST(revenue / bought.n AS DECIMAL(38,10)), 2) ELSE 0 END
+            AS DOUBLE) AS avg_order_value
+FROM markets LEFT JOIN kitchens USING (city) LEFT JOIN people USING (city)
+LEFT JOIN crews USING (city) LEFT JOIN bought USING (city)"""
 
 REGIONAL_SQL = """
 shops AS (
@@ -131,6 +130,17 @@ def daily_sales(spark, sf_dir):
     return plain(mart)
 
 
+@query(
+    "daily_sales_fine",
+    f"WITH {USERS_SQL}, {FINE_ORDERS_SQL}, {CUSTOMER_SHOPS_SQL}, {DAILY_SQL} SELECT * FROM mart",
+)
+def daily_sales_fine(spark, sf_dir):
+    mart = marts.daily_restaurant_sales(
+        B.fine_orders(spark, sf_dir), B.customers_as("restaurant", spark, sf_dir)
+    )
+    return plain(mart)
+
+
 @query(
     "daily_sales_deliveries",
     f"WITH {DELIVERIES_SQL}, {SUPPLIERS_SQL}, {DAILY_SQL} SELECT * FROM mart",
@@ -147,9 +157,17 @@ def daily_sales_deliveries(spark, sf_dir):
     f"WITH {USERS_SQL}, {ORDERS_SQL}, {LTV_SQL.format(vip_orders=15, vip_spend=2500000)}",
 )
 def user_ltv(spark, sf_dir):
-    by_user = marts.orders_by_user(B.orders(spark, sf_dir))
-    users = B.users(spark, sf_dir)
-    return plain(marts.user_analytics(users, by_user, vip_orders=15, vip_spend=2500000))
+    totals = marts.user_totals(B.users(spark, sf_dir), B.orders(spark, sf_dir))
+    return plain(marts.user_analytics(totals, vip_orders=15, vip_spend=2500000))
+
+
+@query(
+    "user_ltv_fine",
+    f"WITH {USERS_SQL}, {FINE_ORDERS_SQL}, {LTV_SQL.format(vip_orders=15, vip_spend=2500)}",
+)
+def user_ltv_fine(spark, sf_dir):
+    totals = marts.user_totals(B.users(spark, sf_dir), B.fine_orders(spark, sf_dir))
+    return plain(marts.user_analytics(totals, vip_orders=15, vip_spend=2500))
 
 
 @query(
@@ -157,9 +175,8 @@ def user_ltv(spark, sf_dir):
     f"WITH {USERS_SQL}, {EVENT_ORDERS_SQL}, {LTV_SQL.format(vip_orders=75, vip_spend=1000)}",
 )
 def user_ltv_events(spark, sf_dir):
-    by_user = marts.orders_by_user(B.event_orders(spark, sf_dir))
-    users = B.users(spark, sf_dir)
-    return plain(marts.user_analytics(users, by_user, vip_orders=75, vip_spend=1000))
+    totals = marts.user_totals(B.users(spark, sf_dir), B.event_orders(spark, sf_dir))
+    return plain(marts.user_analytics(totals, vip_orders=75, vip_spend=1000))
 
 
 @query(
@@ -200,13 +217,24 @@ def driver_metrics_events(spark, sf_dir):
 riders AS (SELECT city FROM shops) {CITY_SQL}""",
 )
 def city_performance(spark, sf_dir):
-    mart = marts.city_performance(
-        B.users(spark, sf_dir),
+    return plain(_cities(spark, sf_dir, B.orders(spark, sf_dir)))
+
+
+@query(
+    "city_performance_fine",
+    f"""WITH {USERS_SQL}, {FINE_ORDERS_SQL}, {SUPPLIERS_SQL},
+riders AS (SELECT city FROM shops) {CITY_SQL}""",
+)
+def city_performance_fine(spark, sf_dir):
+    return plain(_cities(spark, sf_dir, B.fine_orders(spark, sf_dir)))
+
+
+def _cities(spark, sf_dir, orders):
+    return marts.city_performance(
+        marts.user_totals(B.users(spark, sf_dir), orders),
         B.suppliers_as("restaurant", spark, sf_dir),
         B.suppliers_as("driver", spark, sf_dir),
-        marts.orders_by_user(B.orders(spark, sf_dir)),
     )
-    return plain(mart)
 
 
 @query(
@@ -215,13 +243,15 @@ def city_performance(spark, sf_dir):
 riders AS (SELECT p_brand AS city FROM part) {CITY_SQL}""",
 )
 def city_performance_sparse(spark, sf_dir):
-    mart = marts.city_performance(
-        B.users(spark, sf_dir),
+    return plain(_sparse_cities(spark, sf_dir))
+
+
+def _sparse_cities(spark, sf_dir):
+    return marts.city_performance(
+        marts.user_totals(B.users(spark, sf_dir), B.event_orders(spark, sf_dir)),
         B.regional_restaurants(spark, sf_dir),
         B.branded_drivers(spark, sf_dir),
-        marts.orders_by_user(B.event_orders(spark, sf_dir)),
     )
-    return plain(mart)
 
 
 @query(
@@ -229,7 +259,7 @@ def city_performance_sparse(spark, sf_dir):
     f"WITH {USERS_SQL}, {REGIONAL_SQL} SELECT city FROM users UNION SELECT city FROM shops",
 )
 def city_union(spark, sf_dir):
-    return marts.cities(B.users(spark, sf_dir), B.regional_restaurants(spark, sf_dir))
+    return _sparse_cities(spark, sf_dir).select("city")
 
 
 @query(

@@ -1,3 +1,4 @@
+import json
 from decimal import Decimal as D
 
 import pytest
@@ -241,3 +242,30 @@ def test_declared_columns_match(users, orders):
         declared = {f.name: f.dataType for f in schemas.TABLES[table].fields}
         built = {f.name: f.dataType for f in df.schema.fields if f.name in declared}
         assert built == declared
+
+
+def test_empty_containers_are_phone_texts(users):
+    df = users(*each(USER, "user_id", "phone_number", [[], {}, "", None]))
+    assert column(df, "user_id", "phone_number") == ["[]", "{}", "N/A", "N/A"]
+
+
+def test_last_of_repeated_members_counts(orders):
+    text = json.dumps({**ORDER, "items": []}).replace(
+        '"items": []', '"items": [{"item_id": "a", "quantity": 1, "quantity": 2, "unit_price": 3}]'
+    )
+    item = cleaning.unnest_items(orders(text)).first()
+    assert (item["quantity"], item["total_price"]) == (2, D(6))
+
+
+def test_unreadable_field_is_refused(spark, store, orders, users):
+    """Without the setting the jobs require, Spark can't read a repeated member at all."""
+    twice = '{"item_id": "a", "quantity": 1, "quantity": 2, "unit_price": 3}'
+    order = json.dumps({**ORDER, "items": []}).replace('"items": []', f'"items": [{twice}]')
+    user = json.dumps({**USER, "phone_number": {}}).replace("{}", '{"a": 1, "a": 2}')
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    try:
+        for table, df in (("silver_orders", orders(order)), ("silver_users", users(user))):
+            with pytest.raises(ConstraintViolation):
+                store.load(table, df)
+    finally:
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")

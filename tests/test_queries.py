@@ -32,11 +32,23 @@ def test_plan_stays_in_the_engine(spark, sf_dir, name):
     assert not re.search(r"Python|Pandas|CartesianProduct|NestedLoop", plan)
 
 
-@pytest.mark.parametrize("name", ["silver_users", "silver_orders", "silver_payments"])
+@pytest.mark.parametrize("name", [
+    "silver_users", "silver_orders", "silver_payments", "json_repeated_member",
+])
 def test_records_are_parsed_once(spark, sf_dir, name):
     assert plan_of(QUERIES[name](spark, sf_dir)).count("from_json(") == 1
 
 
+def test_array_texts_are_parsed_once(spark, sf_dir):
+    """Once for the array, once for the records in it."""
+    assert plan_of(QUERIES["bronze_array_scan"](spark, sf_dir)).count("from_json(") == 2
+
+
+@pytest.mark.parametrize("name", ["raw_to_user_ltv", "raw_to_daily_sales"])
+def test_raw_records_are_parsed_once_per_table(spark, sf_dir, name):
+    assert plan_of(QUERIES[name](spark, sf_dir)).count("from_json(") == 2
+
+
 @pytest.mark.parametrize("name", ["daily_sales", "user_ltv", "driver_metrics", "city_performance"])
 def test_orders_are_reduced_before_the_shuffle(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))

@@ -5,7 +5,8 @@ import pytest
 
 from tests.conftest import dicts
 from tierlake import ConstraintViolation, TableStore, run_warehouse, schemas
-from tierlake.operators import audits
+from tierlake.operators import audits, marts
+from tierlake.plans.audit import audit_warehouse
 from tierlake.plans.warehouse import shuffles_for
 
 USERS = [
@@ -177,4 +178,50 @@ def test_shuffle_partitions_follow_the_input(spark):
     with shuffles_for(spark, 1024):
         assert spark.conf.get(key, None) is None
     with shuffles_for(spark, 100 * 1024**4):
+        assert spark.conf.get(key) == "409600"
+    with shuffles_for(spark, 100 * 1024**4, most=40_000):
         assert spark.conf.get(key) == "40000"
+
+
+def test_audit_of_the_warehouse(run):
+    rows = {(r.audit, r.table_name, r.subject): r.found for r in audit_warehouse(run[1]).collect()}
+    found = {k: n for k, n in rows.items() if n and k[0] != "rows"}
+    assert found == {
+        ("orphans", "silver_orders", "restaurant_id"): 1,
+    }
+    assert rows["rows", "gold_city_performance", "*"] == 3
+    assert {k[0] for k in rows} == {
+        "rows", "nulls", "empty_keys", "duplicate_keys", "orphans", "non_positive", "not_upper",
+        "reconciliation",
+    }
+
+
+def test_users_and_totals_are_joined_once(run, spark):
+    """The gold job stores the joined totals; both marts start from them."""
+    store = run[1]
+    users, orders = store.read("silver_users"), store.read("silver_orders")
+    with store.scratch(marts.user_totals(users, orders)) as totals:
+        for mart in (
+            marts.user_analytics(totals),
+            marts.city_performance(totals, store.read("silver_restaurants"), store.read("silver_drivers")),
+        ):
+            assert "Join" not in mart._jdf.queryExecution().executedPlan().toString()
+
+
+def test_jobs_do_not_rely_on_the_session(spark, tmp_path):
+    raw = write_raw(tmp_path / "raw", "array")
+    item = '{"item_id": "i1", "quantity": 1, "quantity": 2, "unit_price": 3}'
+    text = json.dumps([{**ORDERS[0], "items": []}]).replace('"items": []', f'"items": [{item}]')
+    (tmp_path / "raw" / "orders.json").write_text(text)
+    keys = {"spark.sql.variant.allowDuplicateKeys": "false", "spark.sql.ansi.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for key, value in keys.items():
+            spark.conf.set(key, value)
+        run_warehouse(spark, raw, str(tmp_path / "warehouse"))
+        assert {k: spark.conf.get(k) for k in keys} == keys
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    items = TableStore(spark, str(tmp_path / "warehouse")).read("silver_order_items")
+    assert [(r["quantity"], r["total_price"]) for r in items.collect()] == [(2, 6)]

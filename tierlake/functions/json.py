@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Filled with the record's text exactly where a field of it could not be read.
+UNREADABLE = "_corrupt_record"
+
+
 def record_schema(text_fields=(), variant_fields=()) -> T.StructType:
     """Schema for one ``from_json`` pass over a raw record."""
     return T.StructType(
@@ -17,6 +21,16 @@ def record_schema(text_fields=(), variant_fields=()) -> T.StructType:
     )
 
 
+def read_record(text: Column, text_fields=(), variant_fields=()) -> Column:
+    """A record's fields, and ``UNREADABLE``, which tells an absent field from a bad one.
+
+    Of a repeated member the last value counts, for VARIANT fields under the setting
+    that ``tierlake.session`` requires.
+    """
+    schema = record_schema(text_fields, variant_fields).add(UNREADABLE, T.StringType())
+    return F.from_json(text, schema, {"columnNameOfCorruptRecord": UNREADABLE})
+
+
 def array_elements(text: Column) -> Column:
     """Element texts of a JSON array; a single NULL when the text is not one array."""
     # The outer brackets make text after the array's end a parse error. The array around
@@ -60,6 +74,11 @@ def is_falsy(v: Column) -> Column:
     return is_missing(v) | written.isin("null", "false", '""', "[]", "{}", "0", "0.0", "-0.0")
 
 
+def is_container(v: Column) -> Column:
+    """An array or an object; false for an absent key."""
+    return F.coalesce(F.substring(F.to_json(v), 1, 1).isin("[", "{"), F.lit(False))
+
+
 def flag(v: Column) -> Column:
     """1 for a bare true or a number equal to one, else 0 (absent and quoted values too)."""
     return F.when(F.to_json(v).isin("true", "1", "1.0"), 1).otherwise(0)

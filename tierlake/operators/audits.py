@@ -94,3 +94,54 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counted)
+
+
+def report(
+    tables: dict[str, DataFrame],
+    required: dict[str, list[str]],
+    primary_keys: dict[str, list[str]],
+    foreign_keys: tuple[tuple[str, str, str, str], ...],
+    amounts: tuple[tuple[str, str], ...] = (),
+    codes: tuple[tuple[str, str], ...] = (),
+) -> DataFrame:
+    """All checks as rows: audit, table_name, subject, found.
+
+    ``found`` counts violations, for the audit "rows" the rows of the table: NULLs in
+    required columns, rows beyond the first of a key, NULL or empty keys, rows whose
+    reference has no parent, amounts of zero or less, codes that are not in upper case.
+    Each table is scanned once for its column counts and once per key.
+    """
+    rows = []
+
+    def add(df: DataFrame, audit: str, table: str, subject, found: Column) -> None:
+        rows.append(df.select(
+            F.lit(audit).alias("audit"), F.lit(table).alias("table_name"),
+            (F.lit(subject) if isinstance(subject, str) else subject).alias("subject"),
+            F.coalesce(found, F.lit(0)).cast("long").alias("found"),
+        ))
+
+    for table, df in tables.items():
+        counts = {("rows", "*"): F.count(F.lit(1))}
+        for column in required.get(table, ()):
+            counts["nulls", column] = F.count_if(F.col(column).isNull())
+        for column in primary_keys.get(table, ()):
+            empty = F.col(column).isNull() | (F.col(column).cast("string") == "")
+            counts["empty_keys", column] = F.count_if(empty)
+        for column in (c for t, c in amounts if t == table):
+            counts["non_positive", column] = F.count_if(F.col(column) <= 0)
+        for column in (c for t, c in codes if t == table):
+            counts["not_upper", column] = F.count_if(F.upper(column) != F.col(column))
+        found = F.array(*[
+            F.struct(F.lit(audit).alias("audit"), F.lit(subject).alias("subject"), count.cast("long").alias("found"))
+            for (audit, subject), count in counts.items()
+        ])
+        rows.append(df.agg(found.alias("all")).select(F.inline("all")).select(
+            "audit", F.lit(table).alias("table_name"), "subject", "found"
+        ))
+    for table, keys in primary_keys.items():
+        twice = duplicate_keys(tables[table], keys).agg(F.sum(F.col("rows") - 1).alias("found"))
+        add(twice, "duplicate_keys", table, ",".join(keys), F.col("found"))
+    for child, column, parent, parent_key in foreign_keys:
+        missing = orphans(tables[child], column, tables[parent], parent_key)
+        add(missing.agg(F.sum("rows").alias("found")), "orphans", child, column, F.col("found"))
+    return reduce(DataFrame.unionByName, rows)

@@ -53,7 +53,9 @@ def _city(c: Column) -> Column:
 
 
 def _phone(v: Column) -> Column:
-    return F.when(J.is_falsy(v), "N/A").otherwise(J.text_of(v))
+    # An empty array or object is a text of its own, unlike other empty values.
+    text = F.when(J.is_container(v), F.to_json(v)).otherwise(J.text_of(v))
+    return F.when(J.is_falsy(v) & ~J.is_container(v), "N/A").otherwise(text)
 
 
 def _rating(v: Column) -> Column:
@@ -112,18 +114,27 @@ def clean_entity(bronze: DataFrame, cleaning: Cleaning, processed_at: datetime)
     the scan and the text is parsed once.
     """
     key = F.col(f"raw_{cleaning.key}")
-    schema = J.record_schema(cleaning.texts, cleaning.variants)
+    record = J.read_record(F.col("raw_json"), cleaning.texts, cleaning.variants)
     parsed = bronze.where(key.isNotNull()).select(
-        "record_id", key.alias(cleaning.key), F.from_json("raw_json", schema).alias("r")
+        "record_id", key.alias(cleaning.key), record.alias("r")
     )
     rules = {**cleaning.texts, **cleaning.variants}
     rows = parsed.select(
         "record_id",
         cleaning.key,
+        F.col(f"r.{J.UNREADABLE}").isNotNull().alias("unreadable"),
         *[rule(F.col(f"r.{name}")).alias(name) for name, rule in rules.items()],
     )
     latest = keep_latest(rows, [cleaning.key], ["record_id"]).drop("record_id")
-    return latest.withColumn("processed_at", timestamp(processed_at))
+    return _refuse_unreadable(latest, cleaning.key, processed_at)
+
+
+def _refuse_unreadable(rows: DataFrame, key: str, processed_at: datetime) -> DataFrame:
+    """Without the key that every table requires, the store refuses the load."""
+    return rows.withColumns({
+        key: F.when(~F.col("unreadable"), F.col(key)),
+        "processed_at": timestamp(processed_at),
+    }).drop("unreadable")
 
 
 def clean_orders(bronze: DataFrame, processed_at: datetime) -> DataFrame:
@@ -131,7 +142,8 @@ def clean_orders(bronze: DataFrame, processed_at: datetime) -> DataFrame:
 
     ``items`` is empty when the key is absent and NULL when its value is no array.
     """
-    schema = J.record_schema(
+    record = J.read_record(
+        F.col("raw_json"),
         ["user_id", "restaurant_id", "driver_id", "order_timestamp"],
         ["order_id", "order_status", "subtotal", "tax", "delivery_fee", "discount",
          "total_amount", "items"],
@@ -143,8 +155,9 @@ def clean_orders(bronze: DataFrame, processed_at: datetime) -> DataFrame:
     suspect = F.substring(written, 1, 1).isin("0", "-", "f", "[", "{")
     parsed = (
         bronze.where(written.isNotNull() & (written != ""))
-        .select("record_id", "raw_order_id", F.inline(F.array(F.from_json("raw_json", schema))))
-        .where(~(suspect & J.is_falsy(F.col("order_id"))))
+        .select("record_id", "raw_order_id", F.inline(F.array(record)))
+        .withColumn("unreadable", F.col(J.UNREADABLE).isNotNull())
+        .where(F.col("unreadable") | ~(suspect & J.is_falsy(F.col("order_id"))))
     )
     zero = F.lit(0).cast(N.MONEY)
     parts = ["subtotal", "tax", "delivery_fee", "discount"]
@@ -152,6 +165,7 @@ def clean_orders(bronze: DataFrame, processed_at: datetime) -> DataFrame:
         parsed.select(
             "record_id",
             F.col("raw_order_id").alias("order_id"),
+            "unreadable",
             "user_id",
             "restaurant_id",
             "driver_id",
@@ -173,7 +187,7 @@ def clean_orders(bronze: DataFrame, processed_at: datetime) -> DataFrame:
         )
     )
     first = keep_first(rows, ["order_id"], ["record_id"]).drop("record_id")
-    return first.withColumn("processed_at", timestamp(processed_at))
+    return _refuse_unreadable(first, "order_id", processed_at)
 
 
 def order_total() -> Column:

@@ -55,19 +55,19 @@ def daily_restaurant_sales(orders: DataFrame, restaurants: DataFrame) -> DataFra
     )
 
 
-def orders_by_user(orders: DataFrame) -> DataFrame:
-    """Totals per ordering user: the shared input of the user and city marts."""
-    return orders.groupBy("user_id").agg(
+def user_totals(users: DataFrame, orders: DataFrame) -> DataFrame:
+    """Every user with the totals of their orders: the shared input of the user and city marts."""
+    by_user = orders.groupBy("user_id").agg(
         F.count("order_id").alias("total_orders"),
         _delivered_amount().alias("delivered_amount"),
         F.min("order_timestamp").alias("first_order_date"),
         F.max("order_timestamp").alias("last_order_date"),
     )
+    return users.select("user_id", "full_name", "city").join(by_user, "user_id", "left")
 
 
 def user_analytics(
-    users: DataFrame,
-    by_user: DataFrame,
+    totals: DataFrame,
     vip_orders: int = VIP_ORDERS,
     vip_spend: float = VIP_SPEND,
 ) -> DataFrame:
@@ -83,9 +83,7 @@ def user_analytics(
         .otherwise("NEW_INACTIVE")
     )
     return (
-        users.select("user_id", "full_name", "city")
-        .join(by_user, "user_id", "left")
-        .withColumns({
+        totals.withColumns({
             "total_orders": F.coalesce("total_orders", F.lit(0)),
             "total_spend": cents(F.coalesce("delivered_amount", F.lit(0))),
         })
@@ -122,24 +120,16 @@ def driver_metrics(drivers: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def cities(users: DataFrame, restaurants: DataFrame) -> DataFrame:
-    """Distinct cities of users and restaurants. A city with drivers only is no market."""
-    return users.select("city").union(restaurants.select("city")).distinct()
-
-
 def city_performance(
-    users: DataFrame, restaurants: DataFrame, drivers: DataFrame, by_user: DataFrame
+    totals: DataFrame, restaurants: DataFrame, drivers: DataFrame
 ) -> DataFrame:
-    """Totals per city of ``cities``. Orders and revenue belong to the city of the user.
+    """Totals per city of users and restaurants. Orders and revenue belong to the city of the user.
 
     The order value spreads delivered revenue over all orders, unlike the one of
     the daily sales. The sources meet in one union and one aggregation by city.
     """
-    of_users = users.select("user_id", "city").join(
-        by_user.select("user_id", "total_orders", "delivered_amount"), "user_id", "left"
-    )
     sources = (
-        of_users.select(
+        totals.select(
             "city", F.lit("user").alias("source"), "total_orders", "delivered_amount"
         )
         .unionByName(
@@ -150,7 +140,7 @@ def city_performance(
             drivers.select("city", F.lit("driver").alias("source")), allowMissingColumns=True
         )
     )
-    totals = sources.groupBy("city").agg(
+    by_city = sources.groupBy("city").agg(
         F.count_if(F.col("source") == "restaurant").alias("total_restaurants"),
         F.count_if(F.col("source") == "user").alias("total_active_users"),
         F.count_if(F.col("source") == "driver").alias("total_drivers"),
@@ -158,7 +148,7 @@ def city_performance(
         cents(F.coalesce(F.sum("delivered_amount"), F.lit(0))).alias("total_city_revenue"),
     )
     # A city with drivers only is no market.
-    return totals.where(
+    return by_city.where(
         F.col("total_restaurants") + F.col("total_active_users") > 0
     ).withColumn("avg_order_value", ratio(F.col("total_city_revenue"), F.col("total_orders")))
 

@@ -1,15 +1,39 @@
 """Session settings the jobs rely on. A cluster supplies its own master and memory."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
-SETTINGS = {
+# What the jobs compute depends on these, so they set them themselves.
+REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    "spark.sql.variant.allowDuplicateKeys": "true",
+}
+
+SETTINGS = {
+    **REQUIRED,
     "spark.sql.adaptive.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
 
+@contextmanager
+def required_settings(spark: SparkSession):
+    """The required settings for the block, whatever the caller's session has."""
+    before = {key: spark.conf.get(key, None) for key in REQUIRED}
+    try:
+        for key, value in REQUIRED.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def local_session(cpus: int = 8, memory: str = "8g") -> SparkSession:
     """Session for tests and benchmarks on one machine."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("tierlake")
