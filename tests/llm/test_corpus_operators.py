@@ -7,6 +7,7 @@ import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from plain import digest, groups, remove_repeats, sequences, simhash as plain_simhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -217,10 +218,10 @@ def test_components_of_long_chains(spark):
 # -- passages ----------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("width, combine, chunk", [(20, 1 << 24, 1 << 22), (5, 100, 200), (1, 1 << 24, 1 << 22)])
-def test_repeated_words_go(docs, monkeypatch, width, combine, chunk):
+@pytest.mark.parametrize("width, combine, bucket", [(20, 1 << 24, 1 << 22), (5, 100, 200), (1, 1 << 24, 1 << 22)])
+def test_repeated_words_go(docs, monkeypatch, width, combine, bucket):
     monkeypatch.setattr(substrings, "COMBINE", combine)
-    monkeypatch.setattr(substrings, "CHUNK", chunk)
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", bucket)
     monkeypatch.setattr(substrings, "STRETCH", 7)
     expected = remove_repeats([(r.doc_id, r.text) for r in docs.collect()], width)
     found = substrings.remove_repeats(docs, width)
@@ -244,9 +245,8 @@ def test_passages_of_odd_tables(docs, spark):
 
 def test_frequent_words_change_nothing(docs, monkeypatch):
     expected = {r["row"]["doc_id"]: r.kept_sha256 for r in substrings.remove_repeats(docs).collect()}
-    monkeypatch.setattr(substrings, "COUNTED", 1)
-    monkeypatch.setattr(substrings, "frequent_words", lambda texts, parts: np.sort(np.array(
-        [__import__("xxhash").xxh64_intdigest(f"w{i}".encode()) for i in range(0, 400, 2)], np.uint64)))
+    often = np.sort(np.array([xxhash.xxh64_intdigest(f"w{i}".encode()) for i in range(0, 400, 2)], np.uint64))
+    monkeypatch.setattr(substrings, "frequent_words", lambda texts, parts: (often, 10_000))
     assert {r["row"]["doc_id"]: r.kept_sha256 for r in substrings.remove_repeats(docs).collect()} == expected
 
 

@@ -3,15 +3,16 @@
 The minimiser of a window is its word of lowest rank. Consecutive windows with the same minimiser
 travel to its bucket as one packed string (their words, a space between), so a word is sent about
 three times and not once per window. Equal windows have equal minimisers and meet in one bucket.
+A map task sends what it has for a bucket as one compressed parcel.
 """
 
-import gc
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,12 +20,16 @@ from tierlake.llm.runtime import prepare, slices, stored, utf8
 
 #: Windows of a super-k-mer at most; longer stretches of one minimiser are cut.
 STRETCH = 256
-#: Bytes of packed strings, of whole buckets, that are sorted together.
-CHUNK = 4 * 1024**2
+#: Bytes of packed strings that a bucket should hold; they are sorted together.
+BUCKET_BYTES = 4 * 1024**2
+#: Buckets per partition at least, so that partitions come out even.
+BUCKETS = 4
 #: Bytes of text from which a map task combines equal packed strings.
 COMBINE = 16 * 1024**2
 #: A word is frequent if it makes up this share of what one partition would hold.
 FREQUENT = 1 / 20
+#: Bytes that a word of a text brings about in packed strings, about.
+SENT_BYTES = 20
 #: Occurrences within a task from which a word is counted: less often in all tasks is not frequent.
 COUNTED = 4
 
@@ -63,8 +68,9 @@ def word_hashes(compact: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return own[coded.indices.to_numpy()]
 
 
-def frequent_words(texts: DataFrame, parts: int) -> np.ndarray:
-    """Hashes of words so frequent that as minimisers they would weigh on one partition.
+def frequent_words(texts: DataFrame, parts: int) -> tuple[np.ndarray, int]:
+    """Hashes of words so frequent that as minimisers they would weigh on one partition, and the
+    number of all words.
 
     A share of ``FREQUENT`` / parts of all words makes a word frequent, so there are at most
     parts / ``FREQUENT`` of them. They only decide where windows meet, not what is found.
@@ -101,24 +107,50 @@ def frequent_words(texts: DataFrame, parts: int) -> np.ndarray:
     total = counts.agg(F.sum("total")).first()[0] or 0
     limit = max(64, int(total * FREQUENT / parts))
     often = counts.where(F.col("n") >= limit).select("word").toArrow()["word"]
-    return np.sort(often.to_numpy().view(np.uint64))
+    return np.sort(often.to_numpy().view(np.uint64)), total
 
 
-#: What travels: packed strings with their place, or places already known to repeat (packed null).
-SENT = "bucket int, packed binary, none boolean, doc long, hash long, start int, n int"
+#: What a parcel holds besides the strings: their sizes, places, and lengths of known repeats.
+COLUMNS = (("size", "<i4"), ("none", "?"), ("doc", "<i8"), ("hash", "<i8"), ("start", "<i4"), ("n", "<i4"))
 PLACE = ("none", "doc", "hash", "start")
 
 
-def super_kmers(none, doc, text_hash, texts: pa.Array, width: int, frequent: np.ndarray) -> pa.Table | None:
-    """Packed strings of all windows of some texts, each distinct one once, with its first place.
+def parcel(columns: dict[str, np.ndarray], strings: bytes) -> bytes:
+    """Rows and their strings, compressed."""
+    raw = b"".join([columns[c].astype(kind).tobytes() for c, kind in COLUMNS]) + strings
+    head = np.array([len(raw), len(columns["size"])], "<i8").tobytes()
+    return head + pa.compress(raw, codec="zstd", asbytes=True)
 
-    Other places of an equal string repeat an earlier one; they are sent on without the string.
+
+def unpacked(parcels: list[bytes]) -> tuple[dict[str, np.ndarray], pa.Array]:
+    """Rows and strings of several parcels."""
+    parts, strings = [], []
+    for p in parcels:
+        size, rows = (int(x) for x in np.frombuffer(p, "<i8", 2))
+        raw, at, part = pa.decompress(p[16:], size, codec="zstd", asbytes=True), 0, {}
+        for c, kind in COLUMNS:
+            part[c] = np.frombuffer(raw, kind, rows, at)
+            at += part[c].nbytes
+        parts.append(part)
+        strings.append(raw[at:])
+    columns = {c: np.concatenate([part[c] for part in parts]) for c, _ in COLUMNS}
+    ends = np.concatenate(([0], np.cumsum(columns["size"], dtype=np.int64)))
+    return columns, slices(np.frombuffer(b"".join(strings), np.uint8), ends)
+
+
+def super_kmers(none, doc, text_hash, texts: pa.Array, width: int, frequent: np.ndarray,
+                buckets: int) -> pa.RecordBatch:
+    """Parcels of the packed strings of all windows of some texts, one per bucket.
+
+    Each distinct string is sent once, with its first place. Other places of an equal string repeat
+    an earlier one: they travel without the string, to any bucket.
     """
+    nothing = pa.RecordBatch.from_arrays([pa.array([], pa.int32()), pa.array([], pa.binary())], ["bucket", "parcel"])
     data, docs = utf8(texts)
     compact, offsets, first = words_of(data, docs)
     n = len(offsets) - 1
     if n < width:
-        return None
+        return nothing
     rank = word_hashes(compact, offsets)
     often = frequent[np.searchsorted(frequent, rank).clip(max=len(frequent) - 1)] == rank if len(frequent) else False
     rank = (rank >> np.uint64(1)) | (np.where(often, np.uint64(1), np.uint64(0)) << np.uint64(63))
@@ -132,7 +164,7 @@ def super_kmers(none, doc, text_hash, texts: pa.Array, width: int, frequent: np.
     valid = np.arange(windows) + width <= first[row + 1]
     at = np.flatnonzero(valid)
     if not len(at):
-        return None
+        return nothing
     least, row = least[at], row[at]
     new = np.ones(len(at), bool)
     new[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1])
@@ -149,33 +181,39 @@ def super_kmers(none, doc, text_hash, texts: pa.Array, width: int, frequent: np.
     order = np.lexsort((start, text_hash[row], doc[row], none[row], code))
     repeat = np.zeros(len(code), bool)
     repeat[order[1:]] = code[order[1:]] == code[order[:-1]]
-    bucket = np.where(repeat, text_hash[row] & 0x7FFFFFFF, (least >> np.uint64(32)).astype(np.int64) & 0x7FFFFFFF)
-    return pa.table({
-        "bucket": pa.array(bucket.astype(np.int32)),
-        "packed": pa.array(packed.to_pandas().where(~repeat, None), pa.binary()) if repeat.any() else packed,
-        "none": pa.array(none[row]), "doc": pa.array(doc[row]), "hash": pa.array(text_hash[row]),
-        "start": pa.array(start.astype(np.int32)),
-        "n": pa.array(np.where(repeat, count + width - 1, 0).astype(np.int32)),
-    })
+    goes = np.where(repeat, text_hash[row].view(np.uint64), least >> np.uint64(8)) % np.uint64(buckets)
+    order = np.argsort(goes, kind="stable")
+    goes, row, repeat = goes[order], row[order], repeat[order]
+    sizes = np.where(repeat, 0, (high - low)[order])
+    columns = {
+        "size": sizes, "none": none[row], "doc": doc[row], "hash": text_hash[row], "start": start[order],
+        "n": np.where(repeat, (count + width - 1)[order], 0),
+    }
+    low, high = low[order], low[order] + sizes
+    strings = [joined[s:e] for s, e in zip(low.tolist(), high.tolist(), strict=True)]
+    edges = np.flatnonzero(np.concatenate(([True], goes[1:] != goes[:-1], [True]))).tolist()
+    parcels = [
+        parcel({c: v[a:b] for c, v in columns.items()}, b"".join(strings[a:b]))
+        for a, b in zip(edges[:-1], edges[1:], strict=True)
+    ]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(goes[edges[:-1]].astype(np.int32)), pa.array(parcels, pa.binary())], ["bucket", "parcel"]
+    )
 
 
-def repeated_windows(packed: list[bytes], places: list[np.ndarray], width: int) -> list[np.ndarray]:
+def repeated_windows(packed: pa.Array, places: list[np.ndarray], width: int) -> list[np.ndarray]:
     """Places (none, doc, hash, start) and lengths of windows that repeat an earlier one.
 
-    ``packed`` are distinct strings of whole buckets with the first place of each. All windows are
+    ``packed`` are the distinct strings of a bucket with the first place of each. All windows are
     hashed over word codes; those with equal hashes are sorted by place and compared word by word.
     """
-    sizes = np.array([len(p) for p in packed], np.int64)
-    data = np.frombuffer(b" ".join(packed), np.uint8)
-    docs = np.concatenate(([0], np.cumsum(sizes + 1)))
-    docs[-1] -= 1
-    compact, offsets, first = words_of(data, docs)
+    compact, offsets, first = words_of(*utf8(packed))
     coded = slices(compact, offsets).dictionary_encode()
     code = coded.indices.to_numpy().astype(np.int64)
     mixed = code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019)
     mixed ^= mixed >> np.uint64(31)
     mixed *= np.uint64(0xD6E8FEB86659FD93)
-    windows = len(code) - width + 1
+    windows = max(0, len(code) - width + 1)
     value = np.zeros(windows, np.uint64)
     for j in range(width):
         value *= np.uint64(0x2545F4914F6CDD1D)
@@ -230,69 +268,62 @@ def repeats(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
         docs[key].isNull().alias("none"), F.coalesce(docs[key].cast("long"), F.lit(0)).alias("doc"),
         F.xxhash64(docs[text]).alias("hash"), docs[text].alias("text"),
     ).where("text is not null")
-    frequent = spark.sparkContext.broadcast(frequent_words(rows, parts))
+    often, words = frequent_words(rows, parts)
+    frequent = spark.sparkContext.broadcast(often)
+    buckets = parts * max(BUCKETS, math.ceil(words * SENT_BYTES / parts / BUCKET_BYTES))
 
     def send(batches):
         held, size = [], 0
 
         def packed():
             rows = pa.Table.from_batches(held).combine_chunks()
-            sent = super_kmers(
-                *(rows[c].to_numpy() for c in ("none", "doc", "hash")), rows["text"], width, frequent.value
-            )
-            return sent.to_batches(max_chunksize=4096) if sent is not None else []
+            places = [rows[c].to_numpy() for c in ("none", "doc", "hash")]
+            return super_kmers(*places, rows["text"], width, frequent.value, buckets)
 
         for batch in batches:
             held.append(batch)
             size += batch.nbytes
             if size >= COMBINE:
-                yield from packed()
+                yield packed()
                 held, size = [], 0
         if held:
-            yield from packed()
+            yield packed()
 
     def receive(batches):
-        strings, places, size, last, bucket = [], [], 0, None, None
+        held, bucket = [], None
 
-        def result(none, doc, text_hash, start, n):
+        def sorted_out():
+            columns, strings = unpacked(held)
+            code = strings.dictionary_encode().indices.to_numpy().astype(np.int64)
+            again = columns["n"] > 0
+            code[again] = -1
+            order = np.lexsort([columns[c] for c in reversed(PLACE)] + [code])
+            later = np.zeros(len(code), bool)
+            later[order[1:]] = code[order[1:]] == code[order[:-1]]
+            first = np.flatnonzero(~later & ~again)
+            n = columns["n"].astype(np.int64)
+            own = strings.filter(pa.array(later & ~again))  # equal strings: the first place stays
+            n[later & ~again] = np.diff(words_of(*utf8(own))[2])
+            sure = [columns[c][later | again] for c in PLACE] + [n[later | again]]
+            found = repeated_windows(strings.take(pa.array(first)), [columns[c][first] for c in PLACE], width)
+            both = [np.concatenate(x) for x in zip(sure, found, strict=True)]
             return pa.RecordBatch.from_arrays(
-                [pa.array(none), pa.array(doc), pa.array(text_hash), pa.array(np.asarray(start, np.int64)),
-                 pa.array(np.asarray(n, np.int64))], [*PLACE, "n"],
+                [pa.array(x if c == "none" else x.astype(np.int64)) for x, c in zip(both, (*PLACE, "n"), strict=True)],
+                [*PLACE, "n"],
             )
 
-        def sorted_out():
-            columns = [np.array(c) for c in zip(*places, strict=True)]
-            return result(*repeated_windows(strings, columns, width))
-
         for batch in batches:
-            columns = {c: batch[c].to_numpy(zero_copy_only=False) for c in ("bucket", *PLACE, "n")}
-            known = columns["n"] > 0
-            again = np.flatnonzero(known).tolist()  # rows that repeat a string, with their lengths
-            lengths = columns["n"][known].tolist()
-            packed = batch["packed"].to_pylist()
-            buckets = columns["bucket"].tolist()
-            rows = list(zip(*(columns[c].tolist() for c in PLACE), strict=True))
-            for i in np.flatnonzero(~known).tolist():
-                if buckets[i] != bucket:
-                    if size >= CHUNK:
-                        yield sorted_out()
-                        strings, places, size = [], [], 0
-                    bucket, last = buckets[i], None
-                if packed[i] == last:  # sorted by place: the first of equal strings has come
-                    again.append(i)
-                    lengths.append(last.count(b" ") + 1)
-                    continue
-                last = packed[i]
-                strings.append(last)
-                places.append(rows[i])
-                size += len(last)
-            if again:
-                yield result(*(columns[c][again] for c in PLACE), lengths)
-        if strings:
+            for number, content in zip(batch["bucket"].to_pylist(), batch["parcel"].to_pylist(), strict=True):
+                if number != bucket and held:
+                    yield sorted_out()
+                    held = []
+                bucket = number
+                held.append(content)
+        if held:
             yield sorted_out()
 
-    sent = rows.mapInArrow(send, SENT)
-    dealt = sent.repartition(parts, "bucket").sortWithinPartitions("bucket", "packed", *PLACE)
+    sent = rows.mapInArrow(send, "bucket int, parcel binary")
+    dealt = sent.repartition(parts, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(receive, "none boolean, doc long, hash long, start long, n long")
 
 
@@ -302,12 +333,6 @@ def _stored_repeats(docs: DataFrame, width: int, key: str, text: str) -> DataFra
     return stored(by_text, "repeats")
 
 
-def _release(spark: SparkSession) -> None:
-    """Let Spark remove shuffle files of what is no longer referenced, before the texts are shuffled."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def cut(text: str, cuts: list[dict]) -> tuple[list[bytes], int]:
     """Words that stay, and how many go."""
     words = text.encode().split()
@@ -335,7 +360,6 @@ def remove_repeats(docs: DataFrame, width: int = 20, key: str = "doc_id", text:
     spark = docs.sparkSession
     prepare(spark)
     cuts = _stored_repeats(docs, width, key, text)
-    _release(spark)
     rows = docs.select(
         F.struct(*[docs[c] for c in carry or docs.columns]).alias("row"), docs[text].alias("text"),
         docs[key].isNull().alias("own_none"), F.coalesce(docs[key].cast("long"), F.lit(0)).alias("own_doc"),
