@@ -53,7 +53,7 @@ def orders(spark, sf_dir, amount: Column | None = None) -> DataFrame:
 def fine_orders(spark, sf_dir) -> DataFrame:
     """Orders with amounts of four decimals."""
     price = F.col("o_totalprice").cast("decimal(18,2)")
-    return orders(spark, sf_dir, (price / 1000).cast("decimal(18,4)"))
+    return orders(spark, sf_dir, (price / 100).cast("decimal(18,4)"))
 
 
 def deliveries(spark, sf_dir) -> DataFrame:

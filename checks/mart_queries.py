@@ -24,7 +24,7 @@ sales AS (
 # Amounts with four decimals, so that a mart that divides before it rounds differs.
 FINE_ORDERS_SQL = ORDERS_SQL.replace(
     "CAST(o_totalprice AS DECIMAL(18,2))",
-    "CAST(CAST(o_totalprice AS DECIMAL(18,2)) / 1000 AS DECIMAL(18,4))",
+    "CAST(CAST(o_totalprice AS DECIMAL(18,2)) / 100 AS DECIMAL(18,4))",
 )
 
 EVENT_ORDERS_SQL = """
@@ -163,11 +163,11 @@ def user_ltv(spark, sf_dir):
 
 @query(
     "user_ltv_fine",
-    f"WITH {USERS_SQL}, {FINE_ORDERS_SQL}, {LTV_SQL.format(vip_orders=15, vip_spend=2500)}",
+    f"WITH {USERS_SQL}, {FINE_ORDERS_SQL}, {LTV_SQL.format(vip_orders=15, vip_spend=25000)}",
 )
 def user_ltv_fine(spark, sf_dir):
     totals = marts.user_totals(B.users(spark, sf_dir), B.fine_orders(spark, sf_dir))
-    return plain(marts.user_analytics(totals, vip_orders=15, vip_spend=2500))
+    return plain(marts.user_analytics(totals, vip_orders=15, vip_spend=25000))
 
 
 @query(
