@@ -174,6 +174,12 @@ def test_simhash_components(docs):
     assert simhash.groups(docs.limit(0)).count() == 0
 
 
+def test_simhash_of_a_very_long_text(monkeypatch):
+    monkeypatch.setattr(simhash, "SLICE", 1000)
+    texts = [prose(1, 7000, 9000), None, prose(2, 3), prose(3, 1500)]
+    assert simhash.fingerprint(texts).tolist() == [plain_simhash(t) for t in texts]
+
+
 def test_one_document_of_each_component_stays(docs):
     odd = docs.union(docs.where("doc_id in (50, 71)")).union(docs.where("doc_id = 30").withColumn("doc_id", F.lit(None)))
     kept = simhash.one_of_each(odd)
@@ -243,6 +249,16 @@ def test_passages_of_odd_tables(docs, spark):
     assert [x[2] for x in left if x[:2] == ("3", True)] in ([0], [40])
 
 
+def test_passages_of_very_long_texts(spark):
+    """Texts of many batches, one of a single word, one that repeats itself."""
+    once = prose(6, 40_000, 30_000)
+    rows = [(1, once), (2, "a " * 100_000), (3, f"x {once[:100_000]} y"), (4, "b" * 200_000)]
+    expected = remove_repeats(rows)
+    for r in substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        words, kept = expected[r["row"]["doc_id"]]
+        assert (r.n_words, r.kept) == (len(words), " ".join(kept))
+
+
 def test_frequent_words_change_nothing(docs, monkeypatch):
     expected = {r["row"]["doc_id"]: r.kept_sha256 for r in substrings.remove_repeats(docs).collect()}
     often = np.sort(np.array([xxhash.xxh64_intdigest(f"w{i}".encode()) for i in range(0, 400, 2)], np.uint64))

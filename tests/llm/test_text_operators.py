@@ -170,6 +170,17 @@ def test_pieces_of_odd_tables(docs):
     assert sentencepieces.encode(empty(docs), PIECES).count() == 0
 
 
+def test_very_long_texts():
+    """A word of 50,000 letters, one of 300,000 blanks, 100,000 words."""
+    texts = ["ab" * 25_000, " " * 300_000 + "x", "the cat's hat " * 30_000]
+    model = sentencepieces.model(PIECES)
+    ids, at, _ = model.encode(texts)
+    assert [model.decode(ids[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)] == texts
+    library = Tokenizer.from_file(BPE)
+    counts = pretokens.word_table(BPE).counts(pa.array(texts))
+    assert counts.tolist() == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def labelled(spark):
     random.seed(11)
     words = {"aa": ["lato", "mira", "solan", "teru"], "bb": ["grick", "strow", "plent", "drusk"]}

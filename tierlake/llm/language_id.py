@@ -35,7 +35,7 @@ class Settings:
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
-    #: Probability of each trigram bucket (rows) in each language (columns).
+    #: Probability of each trigram bucket (rows) in each language (columns); 256 KB a language.
     probability: np.ndarray
 
 
@@ -123,7 +123,7 @@ def train(docs: DataFrame, use: Column | None = None, settings: Settings = Setti
     matrix = np.full((BUCKETS, len(languages)), settings.smoothing)
     column = np.searchsorted(languages, total["label"].to_pylist())
     np.add.at(matrix, (total["bucket"].to_numpy(), column), total["n"].to_numpy())
-    return Model(languages, matrix / matrix.sum(axis=0))
+    return Model(languages, (matrix / matrix.sum(axis=0)).astype(np.float32))
 
 
 def mixtures(bucket: np.ndarray, row: np.ndarray, rows: int, model: Model,
@@ -142,7 +142,7 @@ def mixtures(bucket: np.ndarray, row: np.ndarray, rows: int, model: Model,
         high = max(low + 1, int(np.searchsorted(ends, starts[low] + step, side="right")))
         span = slice(starts[low], ends[high - 1])
         out[present[low:high]] = _estimate(
-            model.probability[bucket[span]], counts[span].astype(float), starts[low:high] - starts[low],
+            model.probability[bucket[span]].astype(float), counts[span].astype(float), starts[low:high] - starts[low],
             settings,
         )
         low = high

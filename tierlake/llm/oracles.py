@@ -1,7 +1,58 @@
 """SQL twins of the operators that SQL can say in full."""
 
+from tierlake.llm.licences import GAPS, LOWER, TEMPLATES, UPPER
 from tierlake.llm.queries import ORACLES
 
+
+def _template_rows() -> str:
+    """One row per word of each template: number, label, base, place, word, whether it is mandatory."""
+    return ",\n    ".join(
+        f"({number}, '{t.label}', {t.base}, {place}, '{word}', {place in t.fixed_places()})"
+        for number, t in enumerate(TEMPLATES) for place, word in enumerate(t.words)
+    )
+
+
+ORACLES["op1_licences"] = rf"""
+WITH templates(t, label, base, place, word, fixed) AS (VALUES
+    {_template_rows()}
+), d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                      '{GAPS.replace("[", "[^")}') AS words FROM documents
+), places AS (
+    SELECT doc_id, unnest(words) AS word, unnest(range(0, len(words))) AS i FROM d
+), has AS (
+    SELECT word, count(DISTINCT doc_id) AS n FROM places WHERE word IN (SELECT word FROM templates) GROUP BY word
+), idf AS (
+    SELECT v.word, 1 + ln(((SELECT count(*) FROM documents) + 1) / CAST(coalesce(has.n, 0) + 1 AS DOUBLE)) AS idf
+    FROM (SELECT DISTINCT word FROM templates) v LEFT JOIN has ON v.word = has.word
+), weighted AS (
+    SELECT templates.*, idf / sum(idf) OVER (PARTITION BY t) AS weight,
+           row_number() OVER (PARTITION BY t ORDER BY idf DESC, place) AS rarity
+    FROM templates JOIN idf ON templates.word = idf.word
+), starts AS (
+    SELECT DISTINCT places.doc_id, a.t, places.i - a.place AS start
+    FROM places JOIN weighted a ON places.word = a.word
+    WHERE a.rarity <= CASE WHEN a.base THEN 1 ELSE 2 END
+), compared AS (
+    SELECT s.doc_id, s.start, w.label, w.base,
+           bool_and(NOT w.fixed OR coalesce(p.word = w.word, FALSE)) AS fixed,
+           round(least(coalesce(sum(w.weight) FILTER (p.word = w.word), 0), 1), 6) AS score
+    FROM starts s JOIN weighted w ON s.t = w.t
+    LEFT JOIN places p ON p.doc_id = s.doc_id AND p.i = s.start + w.place
+    GROUP BY s.doc_id, s.start, s.t, w.label, w.base
+), found AS (
+    SELECT doc_id, max(score) AS score, count(*) FILTER (fixed AND score >= 0.8 AND base) AS n_base,
+           min(start) FILTER (fixed AND score >= 0.8 AND base) AS first_word,
+           max(start) FILTER (fixed AND score >= 0.8 AND base) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) FILTER (fixed AND score >= 0.8 AND base) AS base_labels,
+           string_agg(DISTINCT label, ',' ORDER BY label) FILTER (fixed AND score >= 0.8) AS labels
+    FROM compared GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM d LEFT JOIN found ON d.doc_id = found.doc_id
+"""
+
 ORACLES["op2_top_k"] = r"""
 WITH v AS (
     SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS x
