@@ -9,8 +9,9 @@ from tierlake.llm import language_id, packing, simhash, substrings
 from tierlake.llm.queries import BYTE_BPE, is_held_out, table
 from tierlake.llm.runtime import stored
 
-#: Share of its letters that a document's main language needs.
-MAIN_LANGUAGE = 0.5
+#: Share of its letters that a document's main language needs. Texts that quote passages in other
+#: languages are kept; one without any language of a third is not.
+MAIN_LANGUAGE = 1 / 3
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
