@@ -13,7 +13,7 @@ from tierlake.llm.runtime import prepare, utf8
 
 BUCKETS = 1 << 16
 #: Cells (trigrams times languages) that are worked on at once.
-CELLS = 4_000_000
+CELLS = 500_000
 UNKNOWN = "und"
 
 
