@@ -113,13 +113,14 @@ def frequent_words(texts: DataFrame, parts: int) -> tuple[np.ndarray, int]:
 #: What a parcel holds besides the strings: their sizes, places, and lengths of known repeats.
 COLUMNS = (("size", "<i4"), ("none", "?"), ("doc", "<i8"), ("hash", "<i8"), ("start", "<i4"), ("n", "<i4"))
 PLACE = ("none", "doc", "hash", "start")
+CODEC = pa.Codec("zstd", compression_level=5)
 
 
 def parcel(columns: dict[str, np.ndarray], strings: bytes) -> bytes:
     """Rows and their strings, compressed."""
     raw = b"".join([columns[c].astype(kind).tobytes() for c, kind in COLUMNS]) + strings
     head = np.array([len(raw), len(columns["size"])], "<i8").tobytes()
-    return head + pa.compress(raw, codec="zstd", asbytes=True)
+    return head + CODEC.compress(raw, asbytes=True)
 
 
 def unpacked(parcels: list[bytes]) -> tuple[dict[str, np.ndarray], pa.Array]:
@@ -127,7 +128,7 @@ def unpacked(parcels: list[bytes]) -> tuple[dict[str, np.ndarray], pa.Array]:
     parts, strings = [], []
     for p in parcels:
         size, rows = (int(x) for x in np.frombuffer(p, "<i8", 2))
-        raw, at, part = pa.decompress(p[16:], size, codec="zstd", asbytes=True), 0, {}
+        raw, at, part = CODEC.decompress(p[16:], size, asbytes=True), 0, {}
         for c, kind in COLUMNS:
             part[c] = np.frombuffer(raw, kind, rows, at)
             at += part[c].nbytes
