@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes that one Arrow batch may hold; they bound what a Python worker sees at once.
-BATCH_ROWS = 1024
-BATCH_BYTES = 8 * 1024**2
+BATCH_ROWS = 512
+BATCH_BYTES = 4 * 1024**2
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 

@@ -25,7 +25,7 @@ BUCKET_BYTES = 4 * 1024**2
 #: Buckets per partition at least, so that partitions come out even.
 BUCKETS = 4
 #: Bytes of text from which a map task combines equal packed strings.
-COMBINE = 6 * 1024**2
+COMBINE = 4 * 1024**2
 #: A word is frequent if it makes up this share of what one partition would hold.
 FREQUENT = 1 / 20
 #: Bytes that a word of a text brings about in packed strings, about.
