@@ -249,6 +249,23 @@ def test_passages_of_odd_tables(docs, spark):
     assert [x[2] for x in left if x[:2] == ("3", True)] in ([0], [40])
 
 
+@pytest.mark.parametrize("combine, parts", [(1 << 24, 1), (100, 1), (100, 5)])
+def test_repeated_rows_keep_their_first_passage(spark, monkeypatch, combine, parts):
+    """Exactly the removals of the table without its repeated rows."""
+    monkeypatch.setattr(substrings, "COMBINE", combine)
+    text, passage = prose(5, 400), prose(6, 60)
+    once = [(3, text), (4, f"{prose(7, 50)} {passage}"), (5, f"{passage} {prose(8, 30)}"), (6, text + " end"), (7, prose(9, 90) + " " + passage + " x " + passage)]
+    last = (10, f"{prose(11, 25)} {text}")  # stands for the null key, which comes last
+    expected = remove_repeats([*once, last])
+    rows = [*once, (None, last[1])] * 3 + [once[0]] * 20
+    random.Random(2).shuffle(rows)
+    found = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        words, kept = expected[r["row"]["doc_id"] or 10]
+        assert (r.n_words, r.kept) == (len(words), " ".join(kept))
+
+
 def test_passages_of_very_long_texts(spark):
     """Texts of many batches, one of a single word, one that repeats itself."""
     once = prose(6, 40_000, 30_000)

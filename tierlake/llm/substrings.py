@@ -139,12 +139,22 @@ def unpacked(parcels: list[bytes]) -> tuple[dict[str, np.ndarray], pa.Array]:
     return columns, slices(np.frombuffer(b"".join(strings), np.uint8), ends)
 
 
+def same_place(places) -> np.ndarray:
+    """Whether a place (none, doc, hash, start) equals the one before."""
+    same = np.ones(len(places[0]), bool)
+    same[:1] = False
+    for p in places:
+        same[1:] &= p[1:] == p[:-1]
+    return same
+
+
 def super_kmers(none, doc, text_hash, texts: pa.Array, width: int, frequent: np.ndarray,
                 buckets: int) -> pa.RecordBatch:
     """Parcels of the packed strings of all windows of some texts, one per bucket.
 
-    Each distinct string is sent once, with its first place. Other places of an equal string repeat
-    an earlier one: they travel without the string, to any bucket.
+    Each distinct string is sent once, with its first place. Later places of an equal string repeat
+    an earlier one: they travel without the string, to any bucket. A place that occurs again, as
+    rows that repeat key and text bring it about, is the same place and not sent.
     """
     nothing = pa.RecordBatch.from_arrays([pa.array([], pa.int32()), pa.array([], pa.binary())], ["bucket", "parcel"])
     data, docs = utf8(texts)
@@ -180,8 +190,10 @@ def super_kmers(none, doc, text_hash, texts: pa.Array, width: int, frequent: np.
     code = packed.dictionary_encode().indices.to_numpy()
     start = start - first[row]
     order = np.lexsort((start, text_hash[row], doc[row], none[row], code))
-    repeat = np.zeros(len(code), bool)
-    repeat[order[1:]] = code[order[1:]] == code[order[:-1]]
+    row, start, code, low, high, count, least = (x[order] for x in (row, start, code, low, high, count, least))
+    repeat = np.concatenate(([False], code[1:] == code[:-1]))
+    once = ~(repeat & same_place((none[row], doc[row], text_hash[row], start)))
+    row, start, low, high, count, least, repeat = (x[once] for x in (row, start, low, high, count, least, repeat))
     goes = np.where(repeat, text_hash[row].view(np.uint64), least >> np.uint64(8)) % np.uint64(buckets)
     order = np.argsort(goes, kind="stable")
     goes, row, repeat = goes[order], row[order], repeat[order]
@@ -243,8 +255,10 @@ def repeated_windows(packed: pa.Array, places: list[np.ndarray], width: int) ->
         seen: dict[tuple, int] = {}
         for i in range(len(at)):
             head[i] = seen.setdefault(tuple(code[at[i]:at[i] + width]), i)
-    repeat = head != np.arange(len(at))
-    hit = order[repeat]
+    later = np.zeros(len(at), bool)  # an equal place is no earlier one
+    for p in (none[order], doc[order], text_hash[order], start[order]):
+        later |= p != p[head]
+    hit = order[later]
     none, doc, text_hash, start = none[hit], doc[hit], text_hash[hit], start[hit]
     # Neighbouring windows of a text become one stretch.
     order = np.lexsort((start, text_hash, doc, none))
@@ -261,7 +275,7 @@ def repeated_windows(packed: pa.Array, places: list[np.ndarray], width: int) ->
 def repeats(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
     """``none, doc, hash, start, n``: stretches of words to remove, by key and hash of the text.
 
-    Stretches may overlap. ``none`` marks a null key.
+    Stretches may overlap and come several times. ``none`` marks a null key.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -299,15 +313,21 @@ def repeats(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
             again = columns["n"] > 0
             code[again] = -1
             order = np.lexsort([columns[c] for c in reversed(PLACE)] + [code])
-            later = np.zeros(len(code), bool)
-            later[order[1:]] = code[order[1:]] == code[order[:-1]]
-            first = np.flatnonzero(~later & ~again)
+            equal = np.zeros(len(code), bool)
+            equal[order[1:]] = code[order[1:]] == code[order[:-1]]
+            same = np.zeros(len(code), bool)  # a repeated row's place, not a later one
+            same[order] = same_place([columns[c][order] for c in PLACE])
+            first = np.flatnonzero(~equal & ~again)
             n = columns["n"].astype(np.int64)
-            own = strings.filter(pa.array(later & ~again))  # equal strings: the first place stays
-            n[later & ~again] = np.diff(words_of(*utf8(own))[2])
+            later = equal & ~same & ~again
+            own = strings.filter(pa.array(later))  # equal strings: the first place stays
+            n[later] = np.diff(words_of(*utf8(own))[2])
             sure = [columns[c][later | again] for c in PLACE] + [n[later | again]]
             found = repeated_windows(strings.take(pa.array(first)), [columns[c][first] for c in PLACE], width)
             both = [np.concatenate(x) for x in zip(sure, found, strict=True)]
+            order = np.lexsort(both[::-1])
+            both = [x[order] for x in both]
+            both = [x[~same_place(both)] for x in both]
             return pa.RecordBatch.from_arrays(
                 [pa.array(x if c == "none" else x.astype(np.int64)) for x, c in zip(both, (*PLACE, "n"), strict=True)],
                 [*PLACE, "n"],
@@ -330,7 +350,7 @@ def repeats(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
 
 def _stored_repeats(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
     found = repeats(docs, width, key, text)
-    by_text = found.groupBy("none", "doc", "hash").agg(F.collect_list(F.struct("start", "n")).alias("cuts"))
+    by_text = found.groupBy("none", "doc", "hash").agg(F.collect_set(F.struct("start", "n")).alias("cuts"))
     return stored(by_text, "repeats")
 
 
