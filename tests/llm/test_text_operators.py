@@ -220,6 +220,37 @@ def test_languages_of_odd_tables(docs, spark):
     assert {r.lang_pred for r in language_id.identify(docs, nothing).collect()} == {"und"}
 
 
+def alphabets(n):
+    """A text in each of n languages, none of which shares a letter with another."""
+    return {f"l{i:04}": "".join(chr(0x4E00 + 20 * i + (k * k + 3 * k) % 20) for k in range(60)) for i in range(n)}
+
+
+def test_every_label_is_learned(spark):
+    """More languages than a block holds, and more than a fixed number of them."""
+    texts = alphabets(300)
+    rows = [(i, text, lang) for i, (lang, text) in enumerate(texts.items())]
+    rows += [(1000 + i, *rows[i][1:]) for i in range(280)]  # the others are the rarest
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(docs)
+    assert model.languages == sorted(texts) and len(model.blocks) == 5
+    found = language_id.identify(docs, model).select("row.lang", "lang_pred", "score").collect()
+    assert len(found) == 580 and all(r.lang == r.lang_pred and r.score > 0.9 for r in found)
+
+
+def test_blocks_do_not_change_mixtures(spark, monkeypatch):
+    texts = list(alphabets(9).items())
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string")
+    mixed = pa.array([texts[0][1] * 4 + texts[5][1] * 2 + texts[8][1], texts[3][1], "", texts[7][1] * 30 + texts[6][1] * 3])
+    shares = []
+    for block in (64, 4, 1):
+        monkeypatch.setattr(language_id, "BLOCK", block)
+        model = language_id.train(docs)
+        assert len(model.blocks) == -(-9 // block)
+        shares.append(language_id.mixtures(*language_id.trigrams(mixed), 4, model, language_id.Settings()))
+    assert np.allclose(shares[0], shares[1]) and np.allclose(shares[0], shares[2])
+    assert [np.flatnonzero(p).tolist() for p in shares[0]] == [[0, 5, 8], [3], [], [6, 7]]
+
+
 def test_trigrams_stay_within_texts():
     alone = [language_id.trigrams(pa.array([t]))[0].tolist() for t in ("ab c", "", "de")]
     buckets, row = language_id.trigrams(pa.array(["ab c", "", "de"]))

@@ -1,19 +1,25 @@
 """Language identification by mixtures: EM over letter trigrams, languages chosen by penalised likelihood."""
 
 import functools
+import tempfile
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierlake.llm.runtime import prepare, utf8
+from tierlake.llm.runtime import prepare, ragged, stored, utf8
 
 BUCKETS = 1 << 16
 #: Cells (trigrams times languages) that are worked on at once.
 CELLS = 500_000
+#: Languages whose probabilities are worked on at once; the number of languages has no bound.
+BLOCK = 64
+#: Counts of (label, trigram) that a task of the training holds before it passes them on.
+HELD = 1 << 20
 UNKNOWN = "und"
 
 
@@ -23,8 +29,6 @@ class Settings:
 
     #: Documents per language that training reads, about; chosen by a hash of the key.
     sample: int = 3000
-    #: Languages the model has at most, the most frequent ones.
-    languages: int = 256
     #: Added to each trigram count.
     smoothing: float = 0.05
     rounds: int = 25
@@ -32,11 +36,62 @@ class Settings:
     penalty: float = 3.0
 
 
+@dataclass(frozen=True)
+class Block:
+    """Probabilities of the trigrams in up to ``BLOCK`` languages; only trigrams of the sample are held."""
+
+    #: Where the entries of each bucket begin (and the end); an entry's language within the block.
+    starts: np.ndarray
+    column: np.ndarray
+    probability: np.ndarray
+    #: Probability in each language of a trigram its sample does not have.
+    base: np.ndarray
+
+    def likelihood(self, bucket: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """Probability of each trigram (rows) in some languages of the block (columns)."""
+        out = np.repeat(self.base[None, :].astype(float), len(bucket), axis=0)
+        low = self.starts[bucket]
+        size = self.starts[bucket + 1] - low
+        at = ragged(low, size)
+        out[np.repeat(np.arange(len(bucket)), size), self.column[at]] = self.probability[at]
+        return out if len(columns) == out.shape[1] else out[:, columns]
+
+    def mapped(self) -> "Block":
+        """The same with its entries in an unnamed local file, which the system pages in as needed."""
+        def move(values):
+            if not len(values):
+                return values
+            with tempfile.TemporaryFile() as file:
+                values.tofile(file)
+                file.flush()
+                return np.memmap(file, values.dtype, "r", shape=values.shape)
+        return Block(move(self.starts), move(self.column), move(self.probability), self.base)
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
-    #: Probability of each trigram bucket (rows) in each language (columns); 256 KB a language.
-    probability: np.ndarray
+    #: ``BLOCK`` consecutive languages each, as they are or broadcast.
+    blocks: list
+
+    def opened(self) -> "Model":
+        """With blocks that can be read here; several are never in memory together."""
+        if len(self.blocks) == 1:
+            return Model(self.languages, [b.value if isinstance(b, Broadcast) else b for b in self.blocks])
+        own = []
+        for b in self.blocks:
+            own.append(b.value.mapped() if isinstance(b, Broadcast) else b)
+            b.__dict__.pop("_value", None)  # what a broadcast keeps of a value once read
+        return Model(self.languages, own)
+
+    def likelihood(self, bucket: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """Probability of each trigram (rows) in some languages (ascending columns)."""
+        blocks, at = np.unique(columns // BLOCK, return_index=True)
+        parts = [
+            self.blocks[b].likelihood(bucket, own - b * BLOCK)
+            for b, own in zip(blocks, np.split(columns, at[1:]), strict=True)
+        ]
+        return parts[0] if len(parts) == 1 else np.concatenate(parts, axis=1)
 
 
 @functools.cache
@@ -82,9 +137,10 @@ def train(docs: DataFrame, use: Column | None = None, settings: Settings = Setti
           key: str = "doc_id", text: str = "text", label: str = "lang") -> Model:
     """Trigram counts per language over a sample of the labelled rows that ``use`` admits.
 
-    Rows per label are counted over the whole table first. Each language then gives about
-    ``settings.sample`` whole texts, those with the smallest hashes of key and text. Rows without
-    label or text teach nothing; without any the model has no language.
+    Every label is learned. Rows per label are counted over the whole table first. Each language then
+    gives about ``settings.sample`` whole texts, those with the smallest hashes of key and text. Rows
+    without label or text teach nothing; without any the model has no language. Counts stay in the
+    shared folder; the driver takes them up a block of languages at a time.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -93,37 +149,65 @@ def train(docs: DataFrame, use: Column | None = None, settings: Settings = Setti
         F.pmod(F.xxhash64(docs[key].cast("string"), docs[text]), F.lit(1_000_000)).alias("hash"),
         (F.lit(True) if use is None else use).alias("use"),
     ).where("use and text is not null and label is not null")
-    most = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(settings.languages)
-    sizes = {r["label"]: r["count"] for r in most.collect()}
-    languages = sorted(sizes)
+    sizes = stored(labelled.groupBy("label").agg(F.count("*").alias("size")), "labels")
+    languages = sorted(r["label"] for r in sizes.select("label").collect())
     if not languages:
-        return Model([], np.zeros((BUCKETS, 0)))
-    share = F.create_map(*[
-        F.lit(v) for x in languages for v in (x, int(min(1.0, settings.sample / sizes[x]) * 1_000_000))
-    ])
-    sample = labelled.where(F.col("hash") < share[F.col("label")])
+        return Model([], [])
+    sample = labelled.join(F.broadcast(sizes), "label").where(  # a row per label
+        F.col("hash") < F.floor(F.least(F.lit(1.0), settings.sample / F.col("size")) * 1_000_000)
+    )
 
     def count(batches):
-        seen: dict[str, np.ndarray] = {}
+        numbers: dict[str, int] = {}
+        held, size = [], 0
+
+        def merged():
+            cells, at = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+            return cells, np.bincount(at, weights=np.concatenate([n for _, n in held])).astype(np.int64)
+
+        def rows():
+            cells, n = merged()
+            names = pa.array(list(numbers), pa.string()).take(pa.array(cells // BUCKETS))
+            return pa.RecordBatch.from_arrays(
+                [names, pa.array(cells % BUCKETS), pa.array(n)], ["label", "bucket", "n"]
+            )
+
         for batch in batches:
             buckets, row = trigrams(batch["text"])
-            labels = np.array(batch["label"].to_pylist())
-            for name in set(labels):
-                own = np.bincount(buckets[labels[row] == name], minlength=BUCKETS)
-                seen[name] = seen.get(name, 0) + own
-        for name, counts in seen.items():
-            hit = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(hit), pa.string()), pa.array(hit), pa.array(counts[hit])],
-                ["label", "bucket", "n"],
-            )
+            own = np.array([numbers.setdefault(x, len(numbers)) for x in batch["label"].to_pylist()], np.int64)
+            held.append(np.unique(own[row] * BUCKETS + buckets, return_counts=True))
+            size += len(held[-1][0])
+            if size >= HELD:
+                held = [merged()]
+                size = len(held[0][0])
+                if size >= HELD // 2:
+                    yield rows()
+                    numbers, held, size = {}, [], 0
+        if held:
+            yield rows()
 
     counted = sample.select("text", "label").mapInArrow(count, "label string, bucket long, n long")
-    total = counted.groupBy("label", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    matrix = np.full((BUCKETS, len(languages)), settings.smoothing)
-    column = np.searchsorted(languages, total["label"].to_pylist())
-    np.add.at(matrix, (total["bucket"].to_numpy(), column), total["n"].to_numpy())
-    return Model(languages, (matrix / matrix.sum(axis=0)).astype(np.float32))
+    total = stored(counted.groupBy("label", "bucket").agg(F.sum("n").alias("n")).sort("label"), "trigrams")
+    blocks = []
+    for first in range(0, len(languages), BLOCK):
+        names = languages[first:first + BLOCK]
+        own = total.where(F.col("label").between(names[0], names[-1])).toArrow()
+        blocks.append(spark.sparkContext.broadcast(_block(
+            np.searchsorted(names, own["label"].to_pylist()) if len(own) else np.zeros(0, np.int64),
+            own["bucket"].to_numpy(), own["n"].to_numpy(), len(names), settings.smoothing,
+        )))
+    return Model(languages, blocks)
+
+
+def _block(column, bucket, n, width: int, smoothing: float) -> Block:
+    """Smoothed probabilities of counts."""
+    order = np.lexsort((column, bucket))
+    column, bucket, n = column[order], bucket[order], n[order]
+    whole = np.bincount(column, weights=n, minlength=width) + smoothing * BUCKETS
+    return Block(
+        np.searchsorted(bucket, np.arange(BUCKETS + 1)), column.astype(np.uint16),
+        ((n + smoothing) / whole[column]).astype(np.float32), (smoothing / whole).astype(np.float32),
+    )
 
 
 def mixtures(bucket: np.ndarray, row: np.ndarray, rows: int, model: Model,
@@ -132,43 +216,65 @@ def mixtures(bucket: np.ndarray, row: np.ndarray, rows: int, model: Model,
     out = np.zeros((rows, len(model.languages)))
     if not len(bucket) or not model.languages:
         return out
+    model = model.opened()
     pairs, counts = np.unique(row.astype(np.int64) * BUCKETS + bucket, return_counts=True)
     row, bucket = pairs // BUCKETS, pairs % BUCKETS
     present, starts = np.unique(row, return_index=True)
     ends = np.append(starts[1:], len(row))
-    step = max(1, CELLS // len(model.languages))
+    step = max(1, CELLS // min(len(model.languages), BLOCK))
+    texts = max(1, CELLS // len(model.languages))
     low = 0
     while low < len(present):  # whole rows, so many cells at a time
         high = max(low + 1, int(np.searchsorted(ends, starts[low] + step, side="right")))
+        high = min(high, low + texts)
         span = slice(starts[low], ends[high - 1])
         out[present[low:high]] = _estimate(
-            model.probability[bucket[span]].astype(float), counts[span].astype(float), starts[low:high] - starts[low],
-            settings,
+            model, bucket[span], counts[span].astype(float), starts[low:high] - starts[low], settings,
         )
         low = high
     return out
 
 
-def _estimate(likelihood, counts, starts, settings) -> np.ndarray:
-    sizes = np.diff(np.append(starts, len(counts)))
-    group = np.repeat(np.arange(len(starts)), sizes)
+def _fit(model, bucket, counts, starts, share, rounds) -> tuple[np.ndarray, np.ndarray]:
+    """Shares after so many rounds of EM, and their log-likelihood.
+
+    Each round goes through the languages a block at a time; up to ``BLOCK`` are looked up once.
+    """
+    columns = np.flatnonzero(share.any(axis=0))
+    group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(counts))))
+    letters = np.add.reduceat(counts, starts)[:, None]
+    parts = np.split(columns, range(BLOCK, len(columns), BLOCK))
+    looked_up = model.likelihood(bucket, columns) if len(parts) == 1 else None
+    share = share.copy()
+
+    def swept(weight):
+        fitted = np.zeros(len(counts))
+        for part in parts:
+            likelihood = model.likelihood(bucket, part) if looked_up is None else looked_up
+            if weight is not None:
+                share[:, part] *= np.add.reduceat(likelihood * weight[:, None], starts, axis=0) / letters
+            fitted += np.einsum("ij,ij->i", likelihood, share[:, part][group])
+        return fitted
+
+    fitted = swept(None)
+    for _ in range(rounds):
+        fitted = swept(counts / fitted)
+    return share, np.add.reduceat(counts * np.log(fitted), starts)
+
+
+def _estimate(model, bucket, counts, starts, settings) -> np.ndarray:
     letters = np.add.reduceat(counts, starts)
     price = settings.penalty * np.log(letters + 1)
 
     def fit(share, rounds):
-        for _ in range(rounds):
-            part = likelihood * share[group]
-            part *= (counts / part.sum(axis=1))[:, None]
-            share = np.add.reduceat(part, starts, axis=0) / letters[:, None]
-        fitted = (likelihood * share[group]).sum(axis=1)
-        return share, np.add.reduceat(counts * np.log(fitted), starts)
+        return _fit(model, bucket, counts, starts, share, rounds)
 
     def restrict(share, keep):
         share = np.where(keep, share, 0)
         total = share.sum(axis=1, keepdims=True)
         return np.where(total > 0, share / np.where(total > 0, total, 1), share)
 
-    n_languages = likelihood.shape[1]
+    n_languages = len(model.languages)
     share, _ = fit(np.full((len(starts), n_languages), 1 / n_languages), settings.rounds)
     # What holds next to nothing goes at once, the rest one by one, as long as it is worth it.
     best = share.argmax(axis=1)
@@ -199,10 +305,11 @@ def identify(docs: DataFrame, model: Model, settings: Settings = Settings(),
     """
     spark = docs.sparkSession
     prepare(spark)
-    shared = spark.sparkContext.broadcast(model)
+    names = spark.sparkContext.broadcast(model.languages)
+    blocks = model.blocks
 
     def predict(batches):
-        model = shared.value
+        model = Model(names.value, blocks).opened()
         for batch in batches:
             buckets, row = trigrams(batch["text"])
             share = mixtures(buckets, row, len(batch), model, settings)
