@@ -237,6 +237,17 @@ def test_every_label_is_learned(spark):
     assert len(found) == 580 and all(r.lang == r.lang_pred and r.score > 0.9 for r in found)
 
 
+@pytest.mark.parametrize("size", [5, 3000, 3001, 10**6, 2 * 10**9, 4 * 10**9, 10**13])
+def test_sample_of_labels_of_any_size(spark, size):
+    """Of so many evenly spread hashes about 3,000 are chosen; those just below and above the last."""
+    share = min(1, 3000 / size)
+    hashes = [(int(share * x * 2**64) - (0 if share * x < 0.5 else 2**64),) for x in (0, 0.5, 0.999)]
+    hashes += [(int(share * x * 2**64) - (0 if share * x < 0.5 else 2**64),) for x in (1.001, 2) if share * x < 1]
+    df = spark.createDataFrame(hashes, "hash long").withColumn("size", F.lit(size).cast("long"))
+    found = df.select(language_id.sampled(F.col("hash"), F.col("size"), 3000).alias("x"))
+    assert [r.x for r in found.collect()] == ([True] * 3 + [False] * 2)[:len(hashes)]
+
+
 def test_blocks_do_not_change_mixtures(spark, monkeypatch):
     texts = list(alphabets(9).items())
     docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string")

@@ -133,6 +133,12 @@ def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (mixed >> np.uint64(48)).astype(np.int64), row
 
 
+def sampled(hashed: Column, size: Column, sample: int) -> Column:
+    """Whether a 64-bit hash is among the share sample / size of smallest ones, for any size."""
+    step = F.call_function("div", F.lit(2**63 - 1), size)
+    return F.when(size <= sample, True).otherwise(F.shiftrightunsigned(hashed, 1) < step * sample)
+
+
 def train(docs: DataFrame, use: Column | None = None, settings: Settings = Settings(),
           key: str = "doc_id", text: str = "text", label: str = "lang") -> Model:
     """Trigram counts per language over a sample of the labelled rows that ``use`` admits.
@@ -146,7 +152,7 @@ def train(docs: DataFrame, use: Column | None = None, settings: Settings = Setti
     prepare(spark)
     labelled = docs.select(
         docs[text].alias("text"), docs[label].cast("string").alias("label"),
-        F.pmod(F.xxhash64(docs[key].cast("string"), docs[text]), F.lit(1_000_000)).alias("hash"),
+        F.xxhash64(docs[key].cast("string"), docs[text]).alias("hash"),
         (F.lit(True) if use is None else use).alias("use"),
     ).where("use and text is not null and label is not null")
     sizes = stored(labelled.groupBy("label").agg(F.count("*").alias("size")), "labels")
@@ -154,7 +160,7 @@ def train(docs: DataFrame, use: Column | None = None, settings: Settings = Setti
     if not languages:
         return Model([], [])
     sample = labelled.join(F.broadcast(sizes), "label").where(  # a row per label
-        F.col("hash") < F.floor(F.least(F.lit(1.0), settings.sample / F.col("size")) * 1_000_000)
+        sampled(F.col("hash"), F.col("size"), settings.sample)
     )
 
     def count(batches):
