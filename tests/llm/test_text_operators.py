@@ -248,6 +248,18 @@ def test_sample_of_labels_of_any_size(spark, size):
     assert [r.x for r in found.collect()] == ([True] * 3 + [False] * 2)[:len(hashes)]
 
 
+def test_small_shares_of_long_texts_stay(spark):
+    """900 letters of each of two languages among 100,000; a few stray letters are not worth a language."""
+    texts = [t for _, t in zip(range(6), alphabets(6).values(), strict=False)]
+    rows = [(i, t * 200, f"l{i}") for i, t in enumerate(texts)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    long = texts[0] * 1637
+    mixed = pa.array([f"{long} {texts[2] * 15} {texts[4] * 15}", f"{long} {texts[3][:3]}", texts[5]])
+    share = language_id.mixtures(*language_id.trigrams(mixed), 3, model, language_id.Settings())
+    assert [np.flatnonzero(p).tolist() for p in share] == [[0, 2, 4], [0], [5]]
+    assert np.allclose(share[0], [0.982, 0, 0.009, 0, 0.009, 0], atol=0.001)
+
+
 def test_blocks_do_not_change_mixtures(spark, monkeypatch):
     texts = list(alphabets(9).items())
     docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string")

@@ -268,36 +268,51 @@ def _fit(model, bucket, counts, starts, share, rounds) -> tuple[np.ndarray, np.n
     return share, np.add.reduceat(counts * np.log(fitted), starts)
 
 
-def _estimate(model, bucket, counts, starts, settings) -> np.ndarray:
-    letters = np.add.reduceat(counts, starts)
-    price = settings.penalty * np.log(letters + 1)
+def _restrict(share, keep) -> np.ndarray:
+    share = np.where(keep, share, 0)
+    total = share.sum(axis=1, keepdims=True)
+    return np.where(total > 0, share / np.where(total > 0, total, 1), share)
 
-    def fit(share, rounds):
-        return _fit(model, bucket, counts, starts, share, rounds)
 
-    def restrict(share, keep):
-        share = np.where(keep, share, 0)
-        total = share.sum(axis=1, keepdims=True)
-        return np.where(total > 0, share / np.where(total > 0, total, 1), share)
+def _estimate(model, bucket, counts, starts, settings) -> np.ndarray:
+    """Shares of the languages that penalised likelihood keeps, and nothing else.
 
+    The weakest languages go together as long as the text loses less than the price of one by it, with
+    the other shares merely scaled up: so what any of them can gain is below its price. All others are
+    tried one by one, weakest first; without one the shares are fitted anew.
+    """
+    sizes = np.diff(np.append(starts, len(counts)))
+    letters = np.add.reduceat(counts, starts)
+    price = settings.penalty * np.log(letters + 1)
     n_languages = len(model.languages)
-    share, _ = fit(np.full((len(starts), n_languages), 1 / n_languages), settings.rounds)
-    # What holds next to nothing goes at once, the rest one by one, as long as it is worth it.
-    best = share.argmax(axis=1)
-    keep = share >= 0.01
-    keep[np.arange(len(starts)), best] = True
-    share, score = fit(restrict(share, keep), settings.rounds // 2)
-    undecided = keep.sum(axis=1) > 1
-    while undecided.any():
-        weakest = np.where(keep, share, np.inf).argmin(axis=1)
-        fewer = keep.copy()
-        fewer[np.arange(len(starts)), weakest] = False
-        fewer[~undecided] = keep[~undecided]
-        without, its_score = fit(restrict(share, fewer), settings.rounds // 2)
-        drop = undecided & (its_score + price >= score)
-        keep[drop], share[drop], score[drop] = fewer[drop], without[drop], its_score[drop]
-        undecided = drop & (keep.sum(axis=1) > 1)
-    return share
+    everything = np.full((len(starts), n_languages), 1 / n_languages)
+    share, score = _fit(model, bucket, counts, starts, everything, settings.rounds)
+    keep = share > 0
+    needed = np.zeros_like(keep)  # tried already
+    needed[np.arange(len(starts)), share.argmax(axis=1)] = True
+    while True:
+        rows = np.flatnonzero((keep & ~needed).any(axis=1))
+        if not len(rows):
+            return share
+        used = np.repeat(np.isin(np.arange(len(starts)), rows), sizes)
+        own = bucket[used], counts[used], np.concatenate(([0], np.cumsum(sizes[rows])[:-1]))
+        order = np.argsort(np.where(keep & ~needed, share, np.inf)[rows], axis=1, kind="stable")
+        rank = np.empty_like(order)
+        np.put_along_axis(rank, order, np.arange(n_languages)[None, :], axis=1)
+        # The most that may go at once lies in [low, high).
+        low = np.zeros(len(rows), np.int64)
+        high = (keep & ~needed)[rows].sum(axis=1) + 1
+        while (high - low > 1).any():
+            middle = (low + high) // 2
+            _, left = _fit(model, *own, _restrict(share[rows], keep[rows] & (rank >= middle[:, None])), 0)
+            enough = left + price[rows] >= score[rows]
+            low, high = np.where(enough, middle, low), np.where(enough, high, np.maximum(middle, low + 1))
+        fewer = keep[rows] & (rank >= np.maximum(low, 1)[:, None])
+        without, its_score = _fit(model, *own, _restrict(share[rows], fewer), settings.rounds // 2)
+        drop = its_score + price[rows] >= score[rows]
+        gone = rows[drop]
+        keep[gone], share[gone], score[gone] = fewer[drop], without[drop], its_score[drop]
+        needed[rows[~drop], order[~drop, 0]] = True
 
 
 def identify(docs: DataFrame, model: Model, settings: Settings = Settings(),
