@@ -107,3 +107,91 @@ SELECT d.doc_id, len(d.words) AS n_words, coalesce(n_removed, 0) AS n_removed,
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
+
+
+ORACLES["op11_divergence"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), places AS (
+    SELECT row, lang, source, unnest(words) AS term FROM d
+), kept AS (
+    SELECT lang, term, count(*) AS n FROM places GROUP BY lang, term HAVING count(DISTINCT row) >= 3
+), counts AS (
+    SELECT p.lang, p.source, p.term, count(*) AS n
+    FROM places p JOIN kept k ON p.lang = k.lang AND p.term = k.term GROUP BY p.lang, p.source, p.term
+), langs AS (
+    SELECT lang, count(*) AS size, sum(n) AS total FROM kept GROUP BY lang
+), sources AS (
+    SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN counts c ON g.lang = c.lang AND g.source = c.source
+    GROUP BY g.lang, g.source
+), dense AS (
+    SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+           CAST(1 + (1000000000 * (coalesce(c.n, 0) + 1)::HUGEINT) // (s.total + l.size) AS HUGEINT) AS p,
+           CAST(1 + (1000000000 * (k.n + 1)::HUGEINT) // (l.total + l.size) AS HUGEINT) AS q
+    FROM sources s JOIN kept k ON s.lang = k.lang JOIN langs l ON s.lang = l.lang
+    LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source
+), parts AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(v.value, 0) AS BIGINT) AS value
+    FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM dense WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+    FROM parts
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+def _codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Assignments and means, a pair of common table expressions for each round."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+    SELECT part, vec_id, position, min(ROW(distance, entry)) AS best FROM (
+        SELECT p.part, p.vec_id, p.position, b.entry,
+               list_sum([(p.x[j] - b.x[j]) * (p.x[j] - b.x[j]) FOR j IN range(1, len(p.x) + 1)]) AS distance
+        FROM parts p JOIN b{r} b ON p.part = b.part)
+    GROUP BY part, vec_id, position)""")
+        if r < rounds:
+            steps.append(f"""b{r + 1} AS MATERIALIZED (
+    SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM b{r} b LEFT JOIN (
+        SELECT part, entry, list(mean ORDER BY j) AS x FROM (
+            SELECT part, entry, j, (sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*) AS mean
+            FROM (SELECT p.part, a.best[2] AS entry, unnest(p.x) AS v, unnest(range(1, len(p.x) + 1)) AS j
+                  FROM parts p JOIN a{r} a ON p.part = a.part AND p.position = a.position)
+            GROUP BY part, entry, j)
+        GROUP BY part, entry) m ON b.part = m.part AND b.entry = m.entry)""")
+    return f"""
+WITH v AS MATERIALIZED (
+    SELECT vec_id, label, row_number() OVER (ORDER BY vec_id, embedding) AS position,
+           [CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), parts AS MATERIALIZED (
+    SELECT vec_id, position, part, x[1 + part * len(x) // {parts} : (part + 1) * len(x) // {parts}] AS x
+    FROM v, (SELECT unnest(range(0, {parts})) AS part)
+), b0 AS MATERIALIZED (
+    SELECT part, position - 1 AS entry, x FROM parts WHERE position <= {entries}
+), {", ".join(steps)}, digest AS (
+    SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds}
+), coded AS (
+    SELECT v.vec_id, v.label, string_agg(format('{{:02x}}', a.best[2]), '' ORDER BY a.part) AS code,
+           CAST(sum(a.best[1]) AS BIGINT) AS error
+    FROM v JOIN a{rounds} a ON v.position = a.position GROUP BY v.vec_id, v.label, v.position
+)
+SELECT vec_id, code, error, label, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded, digest
+"""
+
+
+ORACLES["op12_vector_codes"] = _codes()

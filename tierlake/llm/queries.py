@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.llm import (
+    divergence,
     fingerprints,
     language_id,
     licences,
@@ -16,6 +17,7 @@ from tierlake.llm import (
     substrings,
     token_counts,
     topk,
+    vector_codes,
     warc,
 )
 
@@ -101,3 +103,13 @@ def op10_substring_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = substrings.remove_repeats(docs, width=20, carry=["doc_id"], with_kept=False)
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op11_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"), least=3, best=200)
+
+
+@query
+def op12_vector_codes(spark, sf_dir):
+    return vector_codes.encode(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
