@@ -2,8 +2,10 @@
 
 import base64
 import hashlib
+import math
 import re
 from collections import defaultdict
+from fractions import Fraction
 
 import xxhash
 
@@ -102,3 +104,69 @@ def viterbi(model, text):
     while at:
         out, at = best[at][2] + out, best[at][1]
     return out
+
+
+def divergences(docs, least=3, best=200):
+    """(text, lang, source) rows -> rows (lang, source, part, item, value, rank) by dense sums."""
+    letters = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+    docs = [tuple(x or "" for x in d) for d in docs]
+    holding, counts, sources = defaultdict(set), defaultdict(int), defaultdict(set)
+    for i, (text, lang, source) in enumerate(docs):
+        sources[lang].add(source)
+        for term in letters.findall(ascii_lower(text)):
+            holding[lang, term].add(i)
+            counts[lang, source, term] += 1
+    out = []
+    for lang, own in sources.items():
+        kept = [t for (l, t), d in holding.items() if l == lang and len(d) >= least]
+
+        def shares(sum_of, kept=kept):
+            n = {t: sum_of(t) for t in kept}
+            return {t: 1 + 1000000000 * (n[t] + 1) // (sum(n.values()) + len(kept)) for t in kept}
+
+        p = {s: shares(lambda t, s=s, lang=lang: counts[lang, s, t]) for s in own}
+        q = shares(lambda t, lang=lang, own=own: sum(counts[lang, s, t] for s in own))
+        for s in own:
+            pairs = [(sum((p[s][t] - p[o][t]) ** 2 // p[o][t] for t in kept), o) for o in own if o != s]
+            marked = [((p[s][t] - q[t]) ** 2 // q[t], t) for t in kept if counts[lang, s, t] and p[s][t] > q[t]]
+            for part, rows, most in (("pair", pairs, None), ("term", marked, best)):
+                rows = sorted(rows, key=lambda r: (-r[0], r[1].encode()))[:most]
+                out += [(lang, s, part, item, value, i + 1) for i, (value, item) in enumerate(rows)]
+    return sorted(out)
+
+
+def vector_codes(rows, parts=8, entries=16, rounds=6, scale=4096):
+    """(id, vector) rows in any order -> [(id, codes, error)], codebooks; all distances are computed."""
+    rows = [(i, [math.floor(scale * Fraction(x)) for x in v]) for i, v in rows]
+    size = -(-max((len(v) for _, v in rows), default=0) // parts)
+    rows = [(i, v + [0] * (parts * size - len(v))) for i, v in rows]
+    rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    cut = [[v[p * size:(p + 1) * size] for p in range(parts)] for _, v in rows]
+    books = [[list(v[p]) for v in cut[:entries]] for p in range(parts)]
+
+    def nearest(p, v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, e, strict=True)), i) for i, e in enumerate(books[p]))
+
+    for _ in range(rounds):
+        found = [[nearest(p, v[p])[1] for p in range(parts)] for v in cut]
+        for p in range(parts):
+            for e in range(len(books[p])):
+                own = [v[p] for v, f in zip(cut, found, strict=True) if f[p] == e]
+                if own:
+                    books[p][e] = [sum(c) // len(own) for c in zip(*own, strict=True)]
+    out = []
+    for (i, _), v in zip(rows, cut, strict=True):
+        best = [nearest(p, v[p]) for p in range(parts)]
+        out.append((i, "".join(format(e, "02x") for _, e in best), sum(d for d, _ in best)))
+    return out, books
+
+
+def lexicon_matches(folded, lexicon, exceptions):
+    """Longest entry at each place that no exception phrase covers, by trying all entries."""
+    spared = [(i, i + len(x)) for x in exceptions for i in range(len(folded)) if folded.startswith(x, i)]
+    out = []
+    for i in range(len(folded)):
+        own = max((t for t in lexicon if folded.startswith(t, i)), key=len, default=None)
+        if own and not any(a <= i and i + len(own) <= b for a, b in spared):
+            out.append((i, own, lexicon[own]))
+    return out

@@ -1,0 +1,239 @@
+"""Source divergence, vector codes and toxicity against plain versions, with odd inputs."""
+
+import hashlib
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from plain import divergences, lexicon_matches, vector_codes
+from pyspark.sql import functions as F
+
+from tierlake.llm import divergence, toxicity
+from tierlake.llm import vector_codes as codes
+from tierlake.llm.queries import QUERIES
+
+# -- source divergence ---------------------------------------------------------
+
+WORDS = ["The", "cat", "çà", "dog", "ÉTÉ", "naïve", "x2y", "中文", "a-b", "The", "the", "zebra"]
+
+
+def odd_documents():
+    rng = random.Random(5)
+    rows = []
+    for _ in range(150):  # one source holds two thirds of a language
+        lang = rng.choice(["en", "en", "en", "fr", "", None])
+        source = rng.choice(["hot", "hot", "hot", "a", "b", None, ""])
+        rows.append((" ".join(rng.choices(WORDS, k=rng.randrange(9))), lang, source))
+    rows += [(None, "en", "silent"), ("", "fr", "silent"), ("42 !? \t", "en", "b"), ("lonely words", "xx", "only")]
+    rows += [("cat " * 20_000 + "A" * 50_000, "en", "long")] + [("same row", "en", "twin")] * 3
+    return rows
+
+
+def test_divergences_of_odd_documents(spark):
+    rows = odd_documents()
+    schema = "text string, lang string, source string, term string, n int, value string"
+    docs = spark.createDataFrame([(*r, "t", 1, "v") for r in rows], schema).repartition(7)
+    found = sorted(map(tuple, divergence.audit(docs, best=3).collect()))
+    assert found == divergences(rows, best=3)
+    assert any(r[2] == "term" and r[5] == 3 for r in found)
+    assert not [r for r in found if r[0] == "xx"] and [r for r in found if r[:3] == ("en", "silent", "pair")]
+
+
+def test_divergences_of_all_terms_and_of_none(spark):
+    rows = odd_documents()[:40]
+    docs = spark.createDataFrame(rows, "text string, lang string, source string")
+    assert sorted(map(tuple, divergence.audit(docs, least=1).collect())) == divergences(rows, least=1)
+    assert sorted(map(tuple, divergence.audit(docs, least=99).collect())) == divergences(rows, least=99)
+    assert divergence.audit(docs.limit(0)).count() == 0
+
+
+def test_a_term_in_many_sources_is_worked_on_in_blocks(monkeypatch):
+    monkeypatch.setattr(divergence, "PAIRS", 50)
+    rng = np.random.default_rng(1)
+    terms = [t for t, n in (("a", 40), ("b", 1), ("c", 7), ("d", 3)) for _ in range(n)]
+    group = np.concatenate([rng.permutation(40)[:n] for n in (40, 1, 7, 3)])
+    p, none = rng.integers(1, 10**9, len(terms)), rng.integers(1, 1000, len(terms))
+    table = pa.table({"lang": ["x"] * len(terms), "term": terms, "p": p, "none": none})
+    blocks = list(divergence.pair_blocks(table, group))
+    assert max(len(keys) for keys, _ in blocks) <= 50
+    sums, expected = {}, {}
+    for keys, values in blocks:
+        for k, v in zip(keys, values, strict=True):
+            sums[k] = sums.get(k, 0) + v
+    over = lambda a, b: (a - b) ** 2 // b
+    for i, t in enumerate(terms):
+        for j, u in enumerate(terms):
+            if i != j and t == u:
+                a, b, c, d = int(p[i]), int(p[j]), int(none[i]), int(none[j])
+                k = int(group[i]) << 32 | int(group[j])
+                expected[k] = expected.get(k, 0) + over(a, b) - over(a, d) - over(c, b) + over(c, d)
+    assert sums == expected
+
+
+def test_divergence_shuffles_counts_and_no_texts(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    counts = divergence.term_counts(docs).repartition("lang", "term")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Exchange") < plan.index("MapInArrow")
+
+
+# -- vector codes --------------------------------------------------------------
+
+
+def rows_of(vectors, spark, kind="float"):
+    rows = [(i, v, label, "c", 1) for i, (v, label) in enumerate(vectors)]
+    return spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, label int, code string, x int")
+
+
+def checked(found, rows, **settings):
+    """Codes, errors and codebooks equal those of the plain version, sums by label those of the rows."""
+    expected, books = vector_codes(rows, **settings)
+    digest = hashlib.sha256(",".join(str(c) for p in books for e in p for c in e).encode()).hexdigest()
+    assert sorted((r.vec_id, r.code, r.error) for r in found) == sorted(expected)
+    assert {r.codebooks_sha256 for r in found} == {digest}
+    for label in {r.label for r in found}:
+        own = [r for r in found if r.label == label]
+        assert {r.label_error for r in own} == {sum(r.error for r in own)}
+
+
+def test_vector_codes(spark):
+    rng = np.random.default_rng(2)
+    vectors = [(v, int(i) % 3 or None) for i, v in enumerate(rng.normal(size=(300, 16)).astype(np.float32).tolist())]
+    vectors += [(vectors[0][0], 1)] * 100  # a hot vector and label
+    vectors += [(None, 1), ([None] * 16, 1), ([1.0] * 15 + [float("nan")], 1), ([float("inf")] * 16, 2)]
+    rows = [(i, v) for i, (v, _) in enumerate(vectors[:400])]
+    checked(codes.encode(rows_of(vectors, spark).repartition(5)).collect(), rows)
+    checked(codes.encode(rows_of(vectors, spark), parts=4, entries=70, rounds=2, scale=3).collect(), rows,
+            parts=4, entries=70, rounds=2, scale=3)
+
+
+def test_vector_codes_of_few_short_and_no_rows(spark):
+    few = [([0.5, -0.25, 3.0], None), ([], 4), ([1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0], 4)]
+    checked(codes.encode(rows_of(few, spark)).collect(), [(i, v) for i, (v, _) in enumerate(few)])
+    assert codes.encode(rows_of(few, spark).limit(0)).count() == 0
+    assert {(r.code, r.error) for r in codes.encode(rows_of([([], 1)] * 2, spark)).collect()} == {("00" * 8, 0)}
+
+
+def test_vector_codes_of_null_and_repeated_keys(spark):
+    rows = [(None, [2.0, 1.0]), (7, [1.0, 5.0]), (7, [0.0, 5.0]), (None, [9.0, 9.0]), (3, [4.0, 4.0])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    found = codes.encode(df, parts=2, entries=3, rounds=3).collect()
+    expected, _ = vector_codes(rows, parts=2, entries=3, rounds=3)
+    assert sorted(map(str, ((r.vec_id, r.code, r.error) for r in found))) == sorted(map(str, expected))
+
+
+def test_vector_codes_of_components_of_any_size(spark):
+    big = [([1e300, 1.0], 1), ([-1e300, 2.0], 1), ([1e12, 3.0], 2), ([1e12 + 1, -4.0], 2), ([20000.0, 5.5], 3)]
+    found = codes.encode(rows_of(big, spark, "double"), parts=2, entries=2, rounds=3).collect()
+    expected, _ = vector_codes([(i, v) for i, (v, _) in enumerate(big)], parts=2, entries=2, rounds=3)
+    fits = [(i, c, e if e < 1 << 63 else None) for i, c, e in expected]
+    assert [(r.vec_id, r.code, r.error) for r in sorted(found)] == fits
+    assert None in [e for _, _, e in fits]
+
+
+@pytest.mark.parametrize("kind", [np.int64, object])
+@pytest.mark.parametrize("n", [1, 5, 64, 130])
+def test_slices_give_the_nearest_entry(kind, n):
+    rng = np.random.default_rng(n)
+    books = rng.integers(-3, 4, (n, 3)).astype(kind)  # many ties
+    x = rng.integers(-6, 7, (200, 3)).astype(kind)
+    entry, distance = codes.Slices(books).nearest(x)
+    for v, e, d in zip(x, entry, distance, strict=True):
+        every = [int(((v - b) ** 2).sum()) for b in books]
+        assert (min(every), every.index(min(every))) == (d, e)
+
+
+def test_sums_are_added_up_in_limbs(spark):
+    rows = spark.createDataFrame([([v],) for v in (-5.0, 3.0, 2.0**40, -(2.0**41))], "x array<double>")
+    books = np.array([[[0]]])
+    whole = codes.sums(rows, books, 1, limbs=2)
+    assert whole == {(0, 0, -1): 4, (0, 0, 0): -2 + 2**40 - 2**41}
+
+
+# -- toxicity ------------------------------------------------------------------
+
+
+def test_folding():
+    assert toxicity.fold("You 1D10T, ｓｔｕｐｉｄ іdіоt!  m0r0n") == " you idiot stupid idiot moron "
+    assert toxicity.fold("ïdîöt$$$ 2020 cl0wn### Straße") == " idiot clown strasse "
+    assert toxicity.fold("") == toxicity.fold(" 12 !") == "  "
+
+
+def test_matches_by_trying_all_entries():
+    rng = random.Random(3)
+    lexicon = {" ab": 1.0, " abc ": 2.0, " b": 3.0, " ca b": 4.0, " c ": 5.0}
+    exceptions = {" abc a ", " b b ", " a ca "}
+    automaton = toxicity.Model(lexicon, exceptions).automaton()
+    for _ in range(300):
+        folded = toxicity.fold("".join(rng.choices("aabbcc  ", k=rng.randrange(40))))
+        assert toxicity.matches(folded, automaton) == lexicon_matches(folded, lexicon, exceptions)
+    assert toxicity.matches(" ab ", toxicity.Model({}).automaton()) == []
+
+
+def made(n, rng):
+    """Documents of which a fifth are toxic; "clown" is harmless before "fish"."""
+    docs, labels = [], []
+    for i in range(n):
+        words = [rng.choice(["house", "tree", "river", "cloud", "stone", "clowder"]) + rng.choice(["", "s"])
+                 for _ in range(rng.randrange(5, 60))]
+        toxic = i % 5 == 0
+        extra = ["clown", "id1ot", "Mоrоns"] if toxic else rng.choice([["clown fish"], ["fish"], *[[]] * 18])
+        for w in extra:
+            words.insert(rng.randrange(len(words)), w)
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    return docs, labels
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    docs, labels = made(400, random.Random(1))
+    return toxicity.train(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([*labels, (None, 1), (3, None)], "doc_id long, toxic int"), F.lit(True),
+    )
+
+
+def test_toxicity_of_unseen_texts(spark, model):
+    docs, labels = made(200, random.Random(2))
+    # Columns with names used inside, a null key, repeated rows, no text.
+    rows = [(i, t, "x", 1.0, 2) for i, t in docs] + [(None, None, "x", 1.0, 2), (900, "", "x", 1.0, 2)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, row string, score double, matches int").repartition(4)
+    found = toxicity.score(df, model).collect()
+    assert len(found) == len(rows)
+    truth = dict(labels)
+    for r in found:
+        assert 0 <= r.score <= 1
+        assert (r.score >= 0.3) == bool(truth.get(r.row.doc_id, 0)), r
+    assert toxicity.score(df.limit(0), model).count() == 0
+
+
+def test_toxicity_does_not_depend_on_length_order_or_disguise(spark, model):
+    harmless = "river stone cloud " * 20_000
+    rows = [(0, "c l o w n"), (1, "a stone and a Ｍｏｒоｎ, an 1DIOT and a cl0wn"), (2, harmless), (3, harmless + "the clown fish")]
+    found = {r.row.doc_id: r for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert [found[i].score >= 0.3 for i in range(4)] == [False, True, False, False]
+    assert {m.entry for m in found[1].matches} and not found[2].matches
+
+
+def test_exceptions_spare_harmless_phrases(model):
+    assert " clown fish " in model.exceptions
+    automaton = model.automaton()
+    assert not toxicity.matches(" the clown fish ", automaton) and toxicity.matches(" the clown ", automaton)
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1)], [(1, 0)], [(None, 1), (None, 0)]])
+def test_nothing_is_learned_from_one_label(spark, labels):
+    docs = spark.createDataFrame([(1, "x"), (2, None)], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    assert [r.score for r in toxicity.score(docs, model).collect()] == [0.0, 0.0]
+
+
+def test_toxic_documents_that_were_held_out(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    rows = QUERIES["op13_toxicity"](spark, sf_dir).join(labels, "doc_id").where("held_out").collect()
+    toxic, clean = ([r for r in rows if r.toxic == t] for t in (1, 0))
+    assert sum(r.predicted for r in toxic) >= 0.9 * len(toxic)
+    assert sum(r.predicted for r in clean) <= 0.03 * len(clean)

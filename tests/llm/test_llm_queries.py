@@ -15,7 +15,7 @@ def test_result_equals_the_sql_twin(spark, sf_dir, name):
 
 def test_all_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and {*QUERIES, "pipeline"} <= set(entry.queries())
+    assert numbers == list(range(1, 14)) and {*QUERIES, "pipeline"} <= set(entry.queries())
 
 
 def test_base_licences_of_the_documents(spark, sf_dir):

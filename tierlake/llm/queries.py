@@ -17,6 +17,7 @@ from tierlake.llm import (
     substrings,
     token_counts,
     topk,
+    toxicity,
     vector_codes,
     warc,
 )
@@ -113,3 +114,14 @@ def op11_divergence(spark, sf_dir):
 @query
 def op12_vector_codes(spark, sf_dir):
     return vector_codes.encode(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
+
+
+@query
+def op13_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    eligible = ~F.coalesce(is_held_out(), F.lit(False))
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), eligible)
+    return toxicity.score(docs, model).select(
+        F.col("row.doc_id").alias("doc_id"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.concat_ws(",", "matches.entry").alias("entries"),
+    ).withColumn("held_out", F.coalesce(is_held_out(), F.lit(False)))
