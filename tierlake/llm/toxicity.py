@@ -27,6 +27,8 @@ LOOKALIKES = str.maketrans(
     "авсеёһніїјкӏмоөрԛѕтуүѵхԝʏɑɡιıĸłøđαβεκνορτυχ",
     "abceehhiijklmoopqstyyvxwyagiiklodabekvoptux",
 )
+#: Terms that a task adds up before it sends them on.
+HELD = 500_000
 #: Parts of the sample; the curve is fitted on each with the lexicon of the others.
 FOLDS = 4
 COUNTS = [f"{kind}{fold}" for fold in range(FOLDS) for kind in ("clean", "toxic")]
@@ -157,14 +159,22 @@ def counted(rows: DataFrame, of, name: str) -> DataFrame:
     """
     def run(batches):
         counts = [Counter() for _ in COUNTS]
+
+        def sums():
+            terms = list(set().union(*counts))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in counts)],
+                ["term", *COUNTS],
+            )
+
         for batch in batches:
             for text, toxic, part in zip(*(batch[c].to_pylist() for c in ("text", "toxic", "fold")), strict=True):
                 counts[2 * part + toxic].update(of(text))
-        terms = list(set().union(*counts))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in counts)],
-            ["term", *COUNTS],
-        )
+            if sum(map(len, counts)) >= HELD:
+                yield sums()
+                for c in counts:
+                    c.clear()
+        yield sums()
 
     found = rows.mapInArrow(run, "term string, " + ", ".join(f"{c} long" for c in COUNTS))
     return stored(found.groupBy("term").agg(*[F.sum(c).alias(c) for c in COUNTS]), name)
