@@ -140,7 +140,7 @@ def as_bronze(df: DataFrame, key: str, identity: Column, json: Column, row: Colu
     """Bronze records whose id, text and arrival number are derived from table rows."""
     return df.select(
         F.struct(
-            F.lit("records").alias("path"), F.lit(0).cast("long").alias("block"),
+            F.lit("").alias("file_order"), F.lit("records").alias("path"), F.lit(0).cast("long").alias("block"),
             row.cast("long").alias("row"),
         ).alias("record_id"),
         identity.cast("string").alias(f"raw_{key}"),

@@ -66,15 +66,19 @@ def distinct_count(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.count_distinct(column).alias("distinct_values"))
 
 
-def reconcile(left: DataFrame, left_amount: Column, right: DataFrame, right_amount: Column) -> DataFrame:
-    """One row: both sums in cents and whether they agree.
+def reconcile(
+    left: DataFrame, left_amount: Column, right: DataFrame, right_amount: Column, places: int = 2
+) -> DataFrame:
+    """One row: both sums, rounded to so many places, and whether they agree.
 
-    Each side is reduced to one row; the two rows meet in a union, not a join.
+    Each side is reduced to one row; the two rows meet in a union, not a join. A side
+    whose amounts were rounded before must add what that took away (a mart's ``residual``),
+    or many groups differ from one sum by more than a cent.
     """
-    total = "decimal(28,2)"
+    total = f"decimal({26 + places},{places})"
 
     def side(df: DataFrame, amount: Column, name: str, other: str) -> DataFrame:
-        reduced = df.agg(F.coalesce(F.round(F.sum(amount), 2).cast(total), F.lit(0)).alias(name))
+        reduced = df.agg(F.coalesce(F.round(F.sum(amount), places).cast(total), F.lit(0)).alias(name))
         return reduced.select(
             F.col(name).cast(total).alias(name), F.lit(0).cast(total).alias(other)
         )
@@ -103,15 +107,20 @@ def report(
     foreign_keys: tuple[tuple[str, str, str, str], ...],
     amounts: tuple[tuple[str, str], ...] = (),
     codes: tuple[tuple[str, str], ...] = (),
+    known: dict[str, int] | None = None,
 ) -> DataFrame:
     """All checks as rows: audit, table_name, subject, found.
 
     ``found`` counts violations, for the audit "rows" the rows of the table: NULLs in
     required columns, rows beyond the first of a key, NULL or empty keys, rows whose
     reference has no parent, amounts of zero or less, codes that are not in upper case.
-    Each table is scanned once for its column counts and once per key.
+    Each table is scanned once for its column counts and once per key. ``known`` has the rows
+    of tables that were counted when they were written, and refused if a required column held
+    a NULL: neither is counted again.
     """
     rows = []
+    known = known or {}
+    listed = []
 
     def add(df: DataFrame, audit: str, table: str, subject, found: Column) -> None:
         rows.append(df.select(
@@ -121,9 +130,14 @@ def report(
         ))
 
     for table, df in tables.items():
-        counts = {("rows", "*"): F.count(F.lit(1))}
-        for column in required.get(table, ()):
-            counts["nulls", column] = F.count_if(F.col(column).isNull())
+        counts = {}
+        if table in known:
+            listed.append(("rows", table, "*", known[table]))
+            listed += [("nulls", table, column, 0) for column in required.get(table, ())]
+        else:
+            counts["rows", "*"] = F.count(F.lit(1))
+            for column in required.get(table, ()):
+                counts["nulls", column] = F.count_if(F.col(column).isNull())
         for column in primary_keys.get(table, ()):
             empty = F.col(column).isNull() | (F.col(column).cast("string") == "")
             counts["empty_keys", column] = F.count_if(empty)
@@ -131,6 +145,8 @@ def report(
             counts["non_positive", column] = F.count_if(F.col(column) <= 0)
         for column in (c for t, c in codes if t == table):
             counts["not_upper", column] = F.count_if(F.upper(column) != F.col(column))
+        if not counts:
+            continue
         found = F.array(*[
             F.struct(F.lit(audit).alias("audit"), F.lit(subject).alias("subject"), count.cast("long").alias("found"))
             for (audit, subject), count in counts.items()
@@ -144,4 +160,7 @@ def report(
     for child, column, parent, parent_key in foreign_keys:
         missing = orphans(tables[child], column, tables[parent], parent_key)
         add(missing.agg(F.sum("rows").alias("found")), "orphans", child, column, F.col("found"))
+    if listed:
+        spark = next(iter(tables.values())).sparkSession
+        rows.append(spark.createDataFrame(listed, "audit string, table_name string, subject string, found long"))
     return reduce(DataFrame.unionByName, rows)

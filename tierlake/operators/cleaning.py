@@ -107,11 +107,17 @@ PAYMENTS = Cleaning(
 )
 
 
-def clean_entity(bronze: DataFrame, cleaning: Cleaning, processed_at: datetime) -> DataFrame:
+#: Where a silver row comes from: bronze record, and its key as written.
+RECORD = ("record_id", "record_key")
+
+
+def clean_entity(
+    bronze: DataFrame, cleaning: Cleaning, processed_at: datetime, with_record: bool = False
+) -> DataFrame:
     """Latest record of each key with its rules applied; records without a key are left out.
 
     The key comes from the bronze id column, so records without one are skipped in
-    the scan and the text is parsed once.
+    the scan and the text is parsed once. ``with_record`` adds the columns ``RECORD``.
     """
     key = F.col(f"raw_{cleaning.key}")
     record = J.read_record(F.col("raw_json"), cleaning.texts, cleaning.variants)
@@ -125,22 +131,27 @@ def clean_entity(bronze: DataFrame, cleaning: Cleaning, processed_at: datetime)
         F.col(f"r.{J.UNREADABLE}").isNotNull().alias("unreadable"),
         *[rule(F.col(f"r.{name}")).alias(name) for name, rule in rules.items()],
     )
-    latest = keep_latest(rows, [cleaning.key], ["record_id"]).drop("record_id")
-    return _refuse_unreadable(latest, cleaning.key, processed_at)
+    latest = keep_latest(rows, [cleaning.key], ["record_id"])
+    return _refuse_unreadable(latest, cleaning.key, processed_at, with_record)
 
 
-def _refuse_unreadable(rows: DataFrame, key: str, processed_at: datetime) -> DataFrame:
+def _refuse_unreadable(
+    rows: DataFrame, key: str, processed_at: datetime, with_record: bool
+) -> DataFrame:
     """Without the key that every table requires, the store refuses the load."""
-    return rows.withColumns({
+    marked = rows.withColumns({
+        "record_key": F.col(key),
         key: F.when(~F.col("unreadable"), F.col(key)),
         "processed_at": timestamp(processed_at),
-    }).drop("unreadable")
+    })
+    return marked.drop("unreadable", *([] if with_record else RECORD))
 
 
-def clean_orders(bronze: DataFrame, processed_at: datetime) -> DataFrame:
+def clean_orders(bronze: DataFrame, processed_at: datetime, with_record: bool = False) -> DataFrame:
     """First record of each order, with its line items as a typed array.
 
-    ``items`` is empty when the key is absent and NULL when its value is no array.
+    ``items`` is empty when the key is absent and NULL when its value is no array. ``with_record``
+    adds the columns ``RECORD``.
     """
     record = J.read_record(
         F.col("raw_json"),
@@ -186,8 +197,8 @@ def clean_orders(bronze: DataFrame, processed_at: datetime) -> DataFrame:
             ),
         )
     )
-    first = keep_first(rows, ["order_id"], ["record_id"]).drop("record_id")
-    return _refuse_unreadable(first, "order_id", processed_at)
+    first = keep_first(rows, ["order_id"], ["record_id"])
+    return _refuse_unreadable(first, "order_id", processed_at, with_record)
 
 
 def order_total() -> Column:

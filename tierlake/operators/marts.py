@@ -8,7 +8,7 @@ left to Spark: it broadcasts below its size limit and sorts and merges above it.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.functions.numeric import cents, percentage, ratio
+from tierlake.functions.numeric import MONEY, cents, percentage, ratio
 from tierlake.functions.text import iso_day
 
 DELIVERED = "DELIVERED"
@@ -23,8 +23,22 @@ def _delivered_amount() -> Column:
     return F.sum(F.when(F.col("order_status") == DELIVERED, F.col("total_amount")).otherwise(0))
 
 
-def daily_restaurant_sales(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
-    """Sales per day and restaurant. Orders of unknown restaurants do not count."""
+def _residual(amount: Column) -> Column:
+    """What rounding to cents takes away from an amount; with it, sums of a mart are exact."""
+    return (amount - cents(amount)).cast(MONEY).alias("residual")
+
+
+def _with(residual: bool) -> list[str]:
+    return ["residual"] if residual else []
+
+
+def daily_restaurant_sales(
+    orders: DataFrame, restaurants: DataFrame, residual: bool = False
+) -> DataFrame:
+    """Sales per day and restaurant. Orders of unknown restaurants do not count.
+
+    ``residual`` adds a column of that name: the net revenue before rounding, less the rounded one.
+    """
     per_day = orders.groupBy(
         iso_day(F.col("order_timestamp")).alias("order_date"), "restaurant_id"
     ).agg(
@@ -33,6 +47,7 @@ def daily_restaurant_sales(orders: DataFrame, restaurants: DataFrame) -> DataFra
         F.count_if(F.col("order_status") == CANCELLED).alias("cancelled_orders"),
         cents(F.sum("total_amount")).alias("gross_revenue"),
         cents(_delivered_amount()).alias("net_revenue"),
+        _residual(_delivered_amount()),
     )
     # The order value divides the revenue after rounding.
     rated = per_day.withColumns({
@@ -52,6 +67,7 @@ def daily_restaurant_sales(orders: DataFrame, restaurants: DataFrame) -> DataFra
         "net_revenue",
         "avg_order_value",
         "cancellation_rate",
+        *_with(residual),
     )
 
 
@@ -70,11 +86,12 @@ def user_analytics(
     totals: DataFrame,
     vip_orders: int = VIP_ORDERS,
     vip_spend: float = VIP_SPEND,
+    residual: bool = False,
 ) -> DataFrame:
     """Lifetime value and segment of every user, with zeros for users without orders.
 
     All orders count, only delivered ones are spend. First and last are the least
-    and greatest timestamp text.
+    and greatest timestamp text. ``residual`` adds what rounding took from the spend.
     """
     orders, spend = F.col("total_orders"), F.col("total_spend")
     segment = (
@@ -86,6 +103,7 @@ def user_analytics(
         totals.withColumns({
             "total_orders": F.coalesce("total_orders", F.lit(0)),
             "total_spend": cents(F.coalesce("delivered_amount", F.lit(0))),
+            "residual": _residual(F.coalesce("delivered_amount", F.lit(0))),
         })
         .select(
             "user_id",
@@ -97,12 +115,16 @@ def user_analytics(
             "first_order_date",
             "last_order_date",
             segment.alias("rfm_segment"),
+            *_with(residual),
         )
     )
 
 
-def driver_metrics(drivers: DataFrame, orders: DataFrame) -> DataFrame:
-    """Delivered orders and their revenue per driver, with zeros for idle drivers."""
+def driver_metrics(drivers: DataFrame, orders: DataFrame, residual: bool = False) -> DataFrame:
+    """Delivered orders and their revenue per driver, with zeros for idle drivers.
+
+    ``residual`` adds what rounding took from the revenue.
+    """
     per_driver = (
         orders.where((F.col("order_status") == DELIVERED) & F.col("driver_id").isNotNull())
         .groupBy("driver_id")
@@ -116,17 +138,19 @@ def driver_metrics(drivers: DataFrame, orders: DataFrame) -> DataFrame:
             *profile,
             F.coalesce("deliveries", F.lit(0)).alias("total_deliveries"),
             cents(F.coalesce("revenue", F.lit(0))).alias("total_revenue_handled"),
+            *([_residual(F.coalesce("revenue", F.lit(0)))] if residual else []),
         )
     )
 
 
 def city_performance(
-    totals: DataFrame, restaurants: DataFrame, drivers: DataFrame
+    totals: DataFrame, restaurants: DataFrame, drivers: DataFrame, residual: bool = False
 ) -> DataFrame:
     """Totals per city of users and restaurants. Orders and revenue belong to the city of the user.
 
     The order value spreads delivered revenue over all orders, unlike the one of
-    the daily sales. The sources meet in one union and one aggregation by city.
+    the daily sales. The sources meet in one union and one aggregation by city. ``residual``
+    adds what rounding took from the revenue.
     """
     sources = (
         totals.select(
@@ -146,11 +170,13 @@ def city_performance(
         F.count_if(F.col("source") == "driver").alias("total_drivers"),
         F.coalesce(F.sum("total_orders"), F.lit(0)).alias("total_orders"),
         cents(F.coalesce(F.sum("delivered_amount"), F.lit(0))).alias("total_city_revenue"),
+        _residual(F.coalesce(F.sum("delivered_amount"), F.lit(0))),
     )
     # A city with drivers only is no market.
-    return by_city.where(
+    rated = by_city.where(
         F.col("total_restaurants") + F.col("total_active_users") > 0
     ).withColumn("avg_order_value", ratio(F.col("total_city_revenue"), F.col("total_orders")))
+    return rated.select(*[c for c in rated.columns if c != "residual"], *_with(residual))
 
 
 def top_restaurants(daily_sales: DataFrame, k: int = 5) -> DataFrame:

@@ -17,16 +17,21 @@ CODES = (
 )
 
 
-def audit_warehouse(store: TableStore) -> DataFrame:
+def audit_warehouse(store: TableStore, recount: bool = False) -> DataFrame:
     """All checks on the current tables, as ``audits.report`` gives them.
 
-    A last row per mart with revenue tells the cents by which it differs from the
-    delivered orders it should hold.
+    Rows and NULLs in required columns come from the store, which counted them when it wrote the
+    tables, unless ``recount`` asks for the files' own. A last row per mart with revenue tells
+    the cents, rounded up, by which it differs from the delivered orders it should hold. Both sums
+    are exact: a mart keeps beside its rounded amounts what rounding took away.
     """
     tables = {name: store.read(name) for name in schemas.TABLES}
+    known = {} if recount else {
+        name: v.rows for name, v in store.versions().items() if v.rows is not None
+    }
     required = {name: schemas.required(schema) for name, schema in schemas.TABLES.items()}
     found = audits.report(
-        tables, required, schemas.PRIMARY_KEYS, schemas.FOREIGN_KEYS, AMOUNTS, CODES
+        tables, required, schemas.PRIMARY_KEYS, schemas.FOREIGN_KEYS, AMOUNTS, CODES, known
     )
     delivered = tables["silver_orders"].where(F.col("order_status") == marts.DELIVERED)
     for mart, amount, parent, key in (
@@ -35,9 +40,11 @@ def audit_warehouse(store: TableStore) -> DataFrame:
         ("gold_city_performance", "total_city_revenue", "silver_users", "user_id"),
         ("gold_driver_metrics", "total_revenue_handled", "silver_drivers", "driver_id"),
     ):
-        known = delivered.join(tables[parent].select(key), key, "left_semi")
-        both = audits.reconcile(tables[mart], F.col(amount), known, F.col("total_amount"))
-        cents = F.round(F.abs(F.col("left_total") - F.col("right_total")) * 100).cast("long")
+        sold = delivered.join(tables[parent].select(key), key, "left_semi")
+        exact = F.col(amount) + F.coalesce("residual", F.lit(0))
+        held = store.read(mart, schemas.RESIDUAL)
+        both = audits.reconcile(held, exact, sold, F.col("total_amount"), places=4)
+        cents = F.ceil(F.abs(F.col("left_total") - F.col("right_total")) * 100).cast("long")
         found = found.unionByName(both.select(
             F.lit("reconciliation").alias("audit"), F.lit(mart).alias("table_name"),
             F.lit(amount).alias("subject"), cents.alias("found"),

@@ -9,6 +9,8 @@ REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Rows of few kinds (kept or refused, some buckets) are written without a sort.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 SETTINGS = {
