@@ -146,6 +146,45 @@ def recon_audit(spark, sf_dir):
     return plain(both)
 
 
+def _fine_recon_sql(name: str, shops: str, less: str = "0") -> str:
+    return f"""
+SELECT '{name}' AS check_name, CAST(l AS DOUBLE) AS left_total, CAST(r AS DOUBLE) AS right_total, l = r AS agrees
+FROM (
+  SELECT (SELECT coalesce(sum(total_amount), 0) - {less} FROM sales WHERE order_status = 'DELIVERED'
+          AND restaurant_id IN (SELECT restaurant_id FROM {shops})) AS l,
+         (SELECT sum(total_amount) FROM sales WHERE order_status = 'DELIVERED') AS r
+)"""
+
+
+@query(
+    "recon_fine",
+    f"""WITH {M.FINE_ORDERS_SQL},
+known AS (SELECT c_custkey AS restaurant_id FROM customer),
+partly AS (SELECT s_suppkey AS restaurant_id FROM supplier)
+{_fine_recon_sql("every group rounded", "known")} UNION ALL
+{_fine_recon_sql("one cent lost", "known", "CAST(0.01 AS DECIMAL(18,4))")} UNION ALL
+{_fine_recon_sql("orders of unknown restaurants", "partly")}""",
+)
+def recon_fine(spark, sf_dir):
+    """A mart rounded to cents against orders of four decimals: its residuals make up for the rounding."""
+    orders = B.fine_orders(spark, sf_dir)
+    delivered = orders.where(F.col("order_status") == marts.DELIVERED)
+    cent = F.when(F.col("order_id") == delivered.agg(F.min("order_id")).first()[0], "0.01").otherwise("0")
+    short = orders.withColumn("total_amount", F.col("total_amount") - cent.cast("decimal(18,4)"))
+
+    def report(name, sales, restaurants):
+        mart = marts.daily_restaurant_sales(sales, restaurants, residual=True)
+        exact = F.col("net_revenue") + F.col("residual")
+        checked = audits.reconcile(mart, exact, delivered, F.col("total_amount"), places=4)
+        return checked.select(F.lit(name).alias("check_name"), "*")
+
+    known, partly = (of("restaurant", spark, sf_dir) for of in (B.customers_as, B.suppliers_as))
+    return plain(
+        report("every group rounded", orders, known).unionByName(report("one cent lost", short, known))
+        .unionByName(report("orders of unknown restaurants", orders, partly))
+    )
+
+
 @query(
     "distinct_audit",
     """SELECT count(DISTINCT n_name) AS distinct_values
