@@ -1,4 +1,7 @@
+import os
 import re
+import subprocess
+import sys
 
 import pytest
 
@@ -66,3 +69,14 @@ def test_only_needed_columns_are_read(spark, sf_dir):
 
 def test_entry(spark):
     assert entry.entry(spark).columns[0] == "order_date"
+
+
+@pytest.mark.parametrize("module", ["xxhash", "tiktoken", "public_tokenizers", "ahocorasick", "tierlake.llm", "corpus_pipeline"])
+def test_other_queries_need_no_training_data_part(module):
+    """Each library that only the training-data operators use, and these themselves, may be missing."""
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    code = (
+        f"import sys; sys.modules[{module!r}] = None; import __spark_entry__ as e;"
+        " from checks.catalog import QUERIES as q; assert set(e.queries()) == set(q) == set(e.oracle_sql())"
+    )
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
