@@ -283,6 +283,32 @@ def test_frequent_words_change_nothing(docs, monkeypatch):
     assert {r["row"]["doc_id"]: r.kept_sha256 for r in substrings.remove_repeats(docs).collect()} == expected
 
 
+@pytest.mark.parametrize("parts", [200, 10_000, 100_000])
+def test_no_bucket_gathers_windows_of_frequent_words(parts):
+    """Zipf text: the windows that one pair of minimisers draws are no more than a partition's share."""
+    rng = np.random.default_rng(parts)
+    n, vocabulary = 1_000_000, 200_000
+    share = 1 / np.arange(1, vocabulary + 1)
+    words = rng.choice(vocabulary, size=n, p=share / share.sum())
+    hashes = rng.integers(0, 2**64, vocabulary, dtype=np.uint64)
+    counts = np.bincount(words, minlength=vocabulary)
+    often = np.flatnonzero(counts >= max(2, n * substrings.FREQUENT / parts))
+    frequent = hashes[often][np.lexsort((hashes[often], counts[often]))]
+    keys = substrings.minimisers(substrings.ranks(hashes[words], frequent), 20)
+    assert np.unique(keys, return_counts=True)[1].max() <= max(20, 2 * len(keys) / parts)
+
+
+def test_equal_windows_have_equal_minimisers():
+    rng = np.random.default_rng(4)
+    rank = substrings.ranks(rng.choice(np.arange(9, dtype=np.uint64), 3000), np.arange(9, dtype=np.uint64))
+    seen = {}
+    for i, key in enumerate(substrings.minimisers(rank, 5).tolist()):
+        window = rank[i:i + 5].tolist()
+        least = sorted(set(window))
+        assert seen.setdefault((least[0], least[1:2] and least[1]), key) == key
+    assert len(set(seen.values())) == len(seen)
+
+
 # -- pipeline ----------------------------------------------------------------------
 
 

@@ -1,8 +1,10 @@
 """Removal of passages that repeat: windows of words, partitioned as super-k-mers, counted by sorting.
 
-The minimiser of a window is its word of lowest rank. Consecutive windows with the same minimiser
-travel to its bucket as one packed string (their words, a space between), so a word is sent about
-three times and not once per window. Equal windows have equal minimisers and meet in one bucket.
+The minimiser of a window is its word of lowest rank: words in order of their hashes, then frequent
+words by their counts, rarer ones first. A window of frequent words only has a second minimiser, the next
+word in rank, so that its bucket is one of many for the same word. Consecutive windows with the same
+minimisers travel to their bucket as one packed string (their words, a space between), so a word is sent
+about three times and not once per window. Equal windows have equal minimisers and meet in one bucket.
 A map task sends what it has for a bucket as one compressed parcel.
 """
 
@@ -69,8 +71,8 @@ def word_hashes(compact: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def frequent_words(texts: DataFrame, parts: int) -> tuple[np.ndarray, int]:
-    """Hashes of words so frequent that as minimisers they would weigh on one partition, and the
-    number of all words.
+    """Hashes of words so frequent that as minimisers they would weigh on one partition, from the
+    rarest to the most frequent one, and the number of all words.
 
     A share of ``FREQUENT`` / parts of all words makes a word frequent, so there are at most
     parts / ``FREQUENT`` of them. They only decide where windows meet, not what is found.
@@ -106,8 +108,45 @@ def frequent_words(texts: DataFrame, parts: int) -> tuple[np.ndarray, int]:
     counts = stored(counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "words")
     total = counts.agg(F.sum("total")).first()[0] or 0
     limit = max(64, int(total * FREQUENT / parts))
-    often = counts.where(F.col("n") >= limit).select("word").toArrow()["word"]
-    return np.sort(often.to_numpy().view(np.uint64)), total
+    often = counts.where(F.col("n") >= limit).select("word", "n").toArrow()
+    word, n = often["word"].to_numpy().view(np.uint64), often["n"].to_numpy()
+    return word[np.lexsort((word, n))], total
+
+
+#: No word; also the first rank of frequent words.
+NONE, FREQUENT_FROM = np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64(1 << 63)
+
+
+def ranks(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Ranks of words given by hash: half the hash, but frequent words last, in their order."""
+    rank = hashes >> np.uint64(1)
+    if len(frequent):
+        order = np.argsort(frequent)
+        at = order[np.searchsorted(frequent, hashes, sorter=order).clip(max=len(frequent) - 1)]
+        rank = np.where(frequent[at] == hashes, FREQUENT_FROM + at.astype(np.uint64), rank)
+    return rank
+
+
+def minimisers(rank: np.ndarray, width: int) -> np.ndarray:
+    """What decides the bucket of each window of ``width`` words: a hash of its least rank, and of the
+    next one if the least is a frequent word's."""
+    def merged(a, b):
+        least = np.minimum(a[0], b[0])
+        second = np.minimum(np.where(a[0] == least, a[1], a[0]), np.where(b[0] == least, b[1], b[0]))
+        return least, second
+
+    def part(x, low, n):
+        return x[0][low:low + n], x[1][low:low + n]
+
+    held, span = (rank, np.full(len(rank), NONE)), 1  # of the span of words from each on
+    while span * 2 <= width:
+        n = len(held[0]) - span
+        held, span = merged(part(held, 0, n), part(held, span, n)), span * 2
+    windows = len(rank) - width + 1
+    least, second = merged(part(held, 0, windows), part(held, width - span, windows))
+    key = np.where(least < FREQUENT_FROM, least, least * np.uint64(0x9E3779B97F4A7C15) ^ second)
+    key = (key ^ key >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return key ^ key >> np.uint64(32)
 
 
 #: What a parcel holds besides the strings: their sizes, places, and lengths of known repeats.
@@ -162,15 +201,8 @@ def super_kmers(none, doc, text_hash, texts: pa.Array, width: int, frequent: np.
     n = len(offsets) - 1
     if n < width:
         return nothing
-    rank = word_hashes(compact, offsets)
-    often = frequent[np.searchsorted(frequent, rank).clip(max=len(frequent) - 1)] == rank if len(frequent) else False
-    rank = (rank >> np.uint64(1)) | (np.where(often, np.uint64(1), np.uint64(0)) << np.uint64(63))
-    least, span = rank, 1  # of the span of words from each on
-    while span * 2 <= width:
-        least = np.minimum(least[:len(least) - span], least[span:])
-        span *= 2
+    least = minimisers(ranks(word_hashes(compact, offsets), frequent), width)
     windows = n - width + 1
-    least = np.minimum(least[:windows], least[width - span:width - span + windows])
     row = np.searchsorted(first, np.arange(windows), side="right") - 1
     valid = np.arange(windows) + width <= first[row + 1]
     at = np.flatnonzero(valid)
@@ -194,7 +226,7 @@ def super_kmers(none, doc, text_hash, texts: pa.Array, width: int, frequent: np.
     repeat = np.concatenate(([False], code[1:] == code[:-1]))
     once = ~(repeat & same_place((none[row], doc[row], text_hash[row], start)))
     row, start, low, high, count, least, repeat = (x[once] for x in (row, start, low, high, count, least, repeat))
-    goes = np.where(repeat, text_hash[row].view(np.uint64), least >> np.uint64(8)) % np.uint64(buckets)
+    goes = np.where(repeat, text_hash[row].view(np.uint64), least) % np.uint64(buckets)
     order = np.argsort(goes, kind="stable")
     goes, row, repeat = goes[order], row[order], repeat[order]
     sizes = np.where(repeat, 0, (high - low)[order])
