@@ -1,7 +1,9 @@
 """Top-k, WARC, packing, near-duplicates, passages and the pipeline against plain versions."""
 
+import math
 import random
 import zlib
+from fractions import Fraction
 
 import corpus_pipeline
 import numpy as np
@@ -78,6 +80,44 @@ def test_top_k_leaves_out_unusable_vectors(spark):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("large", [20000.0, 3e7, 1e15, 1e300])
+def test_top_k_of_large_components(spark, large):
+    """Against exact whole numbers; a score that a long can't hold is null, its rank counts it."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(60, 5)).round(3)
+    x[::7] *= large
+    x[14:30:3] = x[14]
+    rows = [(i, v.tolist(), 1, "y", 2.0) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int, part string, score double")
+    whole = [(i, [math.floor(Fraction(1024) * Fraction(c)) for c in v.tolist()]) for i, v in enumerate(x)]
+    expected = []
+    for i, q in whole[::10]:
+        scored = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in whole if j != i)
+        expected += [(i, r + 1, j, -s if -(1 << 63) <= -s < 1 << 63 else None) for r, (s, j) in enumerate(scored[:10])]
+    assert sorted(map(tuple, topk.top_k(df, k=10, every=10).collect())) == sorted(expected)
+
+
+def test_order_of_scores_beyond_a_long():
+    scores = [1 << 63, 10**20, 10**40, 3 * 10**20, -(10**20), -(10**40), -(3 * 10**20), -(1 << 70)]
+    for own in ([s for s in scores if s > 0], [s for s in scores if s < 0]):
+        assert sorted(own, key=topk.order_of) == sorted(own)
+
+
+def test_one_result_per_query_leaves_a_group(spark, monkeypatch):
+    """Small blocks: each group of blocks gives k rows per query, however many blocks it has."""
+    rng = np.random.default_rng(8)
+    x = rng.integers(-9, 9, (200, 3))
+    found = None
+    for first in range(0, 200, 20):
+        block = topk._block(np.arange(first, first + 20), np.zeros(20, bool), x[first:first + 20] * 1.0, 1)
+        own = np.array([q - first if first <= q < first + 20 else -1 for q in (0, 100)])
+        new = topk.search_block(block, x[[0, 100]], own, 4)
+        found = new if found is None else topk.best_of(found, new, 4)
+    whole = [(i, v) for i, v in enumerate(x)]
+    rows = [(int((0, 100)[w]), int(i), int(s)) for w, i, s in zip(found[0], found[1], found[3], strict=True)]
+    assert rows == [(q, j, s) for q, _, j, s in best(whole, 4, 100)]
+
+
 # -- WARC --------------------------------------------------------------------------
 
 
@@ -305,7 +345,7 @@ def test_equal_windows_have_equal_minimisers():
     for i, key in enumerate(substrings.minimisers(rank, 5).tolist()):
         window = rank[i:i + 5].tolist()
         least = sorted(set(window))
-        assert seen.setdefault((least[0], least[1:2] and least[1]), key) == key
+        assert seen.setdefault(tuple(least[:2]), key) == key
     assert len(set(seen.values())) == len(seen)
 
 
