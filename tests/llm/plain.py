@@ -170,3 +170,32 @@ def lexicon_matches(folded, lexicon, exceptions):
         if own and not any(a <= i and i + len(own) <= b for a, b in spared):
             out.append((i, own, lexicon[own]))
     return out
+
+
+def fingerprint(text):
+    """(uniform, signs) sums of a text's paragraphs, with whole numbers."""
+    uniform, signs = [0] * 8, [0] * 128
+    for p in re.split(r"\n|(?<=[.!?]) ", text):
+        wide = hashlib.blake2b(p.encode(), digest_size=64).digest()
+        bits = hashlib.blake2b(p.encode(), digest_size=16, person=b"signs").digest()
+        for i in range(8):
+            uniform[i] = (uniform[i] + int.from_bytes(wide[8 * i:8 * i + 8], "little")) % (1 << 64)
+        for i in range(128):
+            if p:
+                signs[i] += 1 if bits[i // 8] >> (7 - i % 8) & 1 else -1
+    return uniform, signs
+
+
+def fingerprint_hex(text):
+    uniform, signs = fingerprint(text)
+    return b"".join([v.to_bytes(8, "little") for v in uniform] + [v.to_bytes(4, "little", signed=True) for v in signs]).hex()
+
+
+def likeness(a, b):
+    """Share of paragraphs that two texts have in common, estimated from the signs."""
+    (ua, sa), (ub, sb) = fingerprint(a), fingerprint(b)
+    if (ua, sa) == (ub, sb):
+        return 1.0
+    whole = sum(x * x + y * y for x, y in zip(sa, sb, strict=True))
+    apart = sum((x - y) ** 2 for x, y in zip(sa, sb, strict=True))
+    return max(0.0, 1 - apart / whole) if whole else 0.0

@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from plain import base_licences, viterbi
+from plain import base_licences, fingerprint_hex, likeness, viterbi
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -85,11 +85,10 @@ def test_fingerprints_of_edits(docs, spark):
         following = order[(i + 1) % len(order)][1]
         half = len(text) // 2
         changed = text[:len(text) - half] + following[:half]
-        own, after = (fingerprints.fingerprint([t])[0] for t in (text, changed))
         r = found[key]
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(changed.encode()).hexdigest())
-        assert (r.fingerprint, r.edited_fingerprint) == (fingerprints.to_hex(own), fingerprints.to_hex(after))
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        assert (r.fingerprint, r.edited_fingerprint) == (fingerprint_hex(text), fingerprint_hex(changed))
+        assert abs(r.near_edited - likeness(text, changed)) < 1e-9 and abs(r.near_next - likeness(text, following)) < 1e-9
     same = {found[k].fingerprint for k, t in order if t == "the cat sat on the mat"}
     assert len(same) == 1
 
@@ -102,6 +101,36 @@ def test_fingerprints_of_odd_tables(docs):
     assert fingerprints.fingerprints(docs).count() == len(TEXTS)
 
 
+@pytest.mark.parametrize("hot", [7, None])
+def test_fingerprints_of_a_hot_key(spark, hot):
+    """A third of all rows has one key, or none: the rows follow each other as in one sorted list, in several buckets."""
+    rows = [(hot if i % 3 == 0 else i, f"text {i}.\nline {i % 5}") for i in range(600)] + [(hot, "same text")] * 4
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    hashed = df.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    order = sorted(hashed, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h), reverse=True)
+    expected = [(r.doc_id, hashlib.sha256(fingerprints.edited(r.text, n.text).encode()).hexdigest())
+                for r, n in zip(order, order[1:] + order[:1], strict=True)]
+    found = [(r.doc_id, r.edited_sha256) for r in fingerprints.fingerprint_edits(df).collect()]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+    sizes = fingerprints.in_sequence(df, "doc_id", "text", 24).groupBy("bucket").count().collect()
+    assert len(sizes) >= 20 and max(r["count"] for r in sizes) <= 3 * 600 / 24
+
+
+def test_paragraphs_are_counted_without_a_modulus_in_reach():
+    texts = ["a" + "\n" * n for n in (0, 1, 1 << 16, 1 << 20)] + ["b\n" * n for n in (1 << 15, 1 << 16)]
+    prints = [fingerprints.to_hex(x) for x in fingerprints.fingerprint(texts)]
+    assert len(set(prints)) == len(texts)
+    lanes = fingerprints.fingerprint(["b\n" * 40_000, "b\n" * 20_000 + "c\n" * 20_000])
+    assert abs(fingerprints.likeness(*lanes) - 2 / 3) < 0.3  # 2 <a, b> / (|a|^2 + |b|^2)
+
+
+def test_blank_lines_are_nothing_in_common():
+    one, other = ("\n\n".join(f"{name} {i}" for i in range(60)) for name in ("one", "other"))
+    assert likeness(one, other) < 0.3
+    assert fingerprints.likeness(*fingerprints.fingerprint([one, other])) == pytest.approx(likeness(one, other))
+    assert fingerprints.likeness(*fingerprints.fingerprint(["\n\n", "\n"])) == 0
+
+
 def test_fingerprints_add_up():
     a, b = "one.\ntwo three.\nfour", "four\none.\ntwo three."
     fa, fb = fingerprints.fingerprint([a, b])

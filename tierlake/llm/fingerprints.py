@@ -1,13 +1,15 @@
 """Document fingerprints: a homomorphic multiset hash of a text's paragraphs.
 
-Every paragraph is hashed to a wide vector and the vectors are added modulo 2^16. The sum does not
+Every paragraph is hashed to a wide vector and the vectors are added modulo 2^64. The sum does not
 depend on the order, and paragraphs can be added or taken away without the rest of the text. The
 first lanes are uniform and tell multisets apart; the others are +1 or -1, so that the squared
-length of a difference estimates by how many paragraphs two texts differ.
+length of a difference estimates by how many paragraphs two texts differ. Empty paragraphs, as blank
+lines make them, count in the first lanes only.
 """
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterable
 
 import numpy as np
@@ -18,10 +20,13 @@ from pyspark.sql import types as T
 
 from tierlake.llm.runtime import prepare
 
-UNIFORM = 16
+UNIFORM = 8
 SIGNS = 128
 LANES = UNIFORM + SIGNS
-DIGEST = 2 * UNIFORM + SIGNS // 8
+DIGEST = 8 * UNIFORM  # the most that the hash gives; the signs have one of their own
+
+#: Paragraphs whose vectors are held at once.
+HELD = 4096
 
 #: A line break ends a paragraph; so does the end of a sentence, as many texts are a single line.
 BREAK = re.compile(r"\n|(?<=[.!?]) ")
@@ -34,34 +39,51 @@ def paragraphs(text: str) -> list[str]:
 
 def vectors(parts: Iterable[str]) -> np.ndarray:
     """One vector of lanes per paragraph."""
-    digests = b"".join([hashlib.blake2b(p.encode(), digest_size=DIGEST).digest() for p in parts])
-    raw = np.frombuffer(digests, np.uint8).reshape(-1, DIGEST)
-    uniform = np.ascontiguousarray(raw[:, :2 * UNIFORM]).view("<u2")
-    signs = np.unpackbits(raw[:, 2 * UNIFORM:], axis=1).astype(np.uint16) * 2 - 1
-    return np.concatenate((uniform, signs), axis=1)
+    raw = [p.encode() for p in parts]
+    wide = b"".join([hashlib.blake2b(p, digest_size=DIGEST).digest() for p in raw])
+    bits = b"".join([hashlib.blake2b(p, digest_size=SIGNS // 8, person=b"signs").digest() for p in raw])
+    out = np.empty((len(raw), LANES), np.uint64)
+    out[:, :UNIFORM] = np.frombuffer(wide, "<u8").reshape(-1, UNIFORM)
+    signs = np.unpackbits(np.frombuffer(bits, np.uint8).reshape(-1, SIGNS // 8), axis=1).astype(np.int64) * 2 - 1
+    signs[np.array([not p for p in raw], bool)] = 0
+    out[:, UNIFORM:] = signs.view(np.uint64)
+    return out
 
 
 def fingerprint(texts: list[str]) -> np.ndarray:
-    """Fingerprints of texts, a row of 16-bit lanes each."""
-    parts = [paragraphs(t) for t in texts]
-    starts = np.concatenate(([0], np.cumsum([len(p) for p in parts])))[:-1].astype(np.int64)
-    if not len(texts):
-        return np.zeros((0, LANES), np.uint16)
-    return np.add.reduceat(vectors([p for own in parts for p in own]), starts, axis=0, dtype=np.uint16)
+    """Fingerprints of texts, a row of 64-bit lanes each; ``HELD`` paragraphs are hashed at a time."""
+    out = np.zeros((len(texts), LANES), np.uint64)
+    held, owner = [], []
+
+    def add():
+        starts = np.flatnonzero(np.diff(owner, prepend=-1))
+        out[np.array(owner)[starts]] += np.add.reduceat(vectors(held), starts, axis=0)
+
+    for i, text in enumerate(texts):
+        parts = paragraphs(text)
+        for low in range(0, len(parts), HELD):
+            held += parts[low:low + HELD]
+            owner += [i] * (len(held) - len(owner))
+            if len(held) >= HELD:
+                add()
+                held, owner = [], []
+    if held:
+        add()
+    return out
 
 
 def insert(fp: np.ndarray, parts: Iterable[str]) -> np.ndarray:
     """The fingerprint after paragraphs were added."""
-    return fp + vectors(parts).sum(axis=0, dtype=np.uint16)
+    return fp + vectors(parts).sum(axis=0, dtype=np.uint64)
 
 
 def delete(fp: np.ndarray, parts: Iterable[str]) -> np.ndarray:
     """The fingerprint after paragraphs were taken away."""
-    return fp - vectors(parts).sum(axis=0, dtype=np.uint16)
+    return fp - vectors(parts).sum(axis=0, dtype=np.uint64)
 
 
 def _norm(lanes: np.ndarray) -> np.ndarray:
-    signs = lanes[..., UNIFORM:].view(np.int16).astype(np.float64)
+    signs = np.ascontiguousarray(lanes[..., UNIFORM:]).view(np.int64).astype(np.float64)
     return (signs * signs).mean(axis=-1)
 
 
@@ -78,11 +100,14 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def to_hex(lanes: np.ndarray) -> str:
-    return lanes.astype("<u2").tobytes().hex()
+    """Lanes in hex digits. Signs take 32 bits, which the paragraphs of no text can exceed."""
+    return lanes[:UNIFORM].astype("<u8").tobytes().hex() + lanes[UNIFORM:].astype("<u4").tobytes().hex()
 
 
 def from_hex(value: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(value), "<u2")
+    raw = bytes.fromhex(value)
+    signs = np.frombuffer(raw[8 * UNIFORM:], "<i4").astype(np.int64).view(np.uint64)
+    return np.concatenate((np.frombuffer(raw[:8 * UNIFORM], "<u8"), signs))
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -108,24 +133,25 @@ def edited(text: str, following: str) -> str:
 
 
 def in_sequence(docs: DataFrame, key: str, text: str, parts: int) -> DataFrame:
-    """Rows ``key, text, bucket, closing`` in descending order of key, dealt to ranges of keys.
+    """Rows ``key, text, bucket, closing`` in descending order of key, dealt to ranges.
 
     The order is: key descending, nulls last, ties by descending hash of the text. Each bucket is
-    a range of keys, in one partition, and ends with a closing row: the first row of the next
-    bucket (after the last: of the first). Only keys go into the quantiles that set the
-    ranges, and one row per bucket is repeated, so texts are shuffled once.
+    a range of keys and hashes, in one partition, and ends with a closing row: the first row of the
+    next bucket (after the last: of the first). Only keys go into the quantiles that set the
+    ranges, and one row per bucket is repeated, so texts are shuffled once. A key, or null, that fills
+    several ranges is cut up by hash, so its rows do not meet in one task unless their texts are equal.
+    The key is an integer.
     """
     rows = docs.select(
         docs[key].alias("key"), F.coalesce(docs[text], F.lit("")).alias("text"),
         F.xxhash64(F.coalesce(docs[text], F.lit(""))).alias("hash"),
     )
-    shares = [i / parts for i in range(1, parts)]
-    cuts = []
-    if shares:
-        found = docs.select(F.percentile_approx(docs[key], shares, F.lit(100 * parts)).alias("q")).first()
-        cuts = sorted(set(found["q"] or []))
-    bounds = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    bucket = F.size(F.filter(bounds, lambda b: b < F.col("key")))
+    cuts = _ranges(docs, key, parts)
+    bounds = F.array(*[F.struct(*[F.lit(v).cast("long").alias(n) for n, v in zip("khx", c, strict=True)]) for c in cuts])
+    own_k, own_h = F.col("key").isNotNull().cast("long"), F.coalesce(F.col("key").cast("long"), F.lit(0))
+    below = lambda b: (b["k"] < own_k) | (
+        (b["k"] == own_k) & ((b["h"] < own_h) | ((b["h"] == own_h) & (b["x"] < F.col("hash")))))
+    bucket = F.size(F.filter(bounds, below)) if cuts else F.lit(0)
     rows = rows.withColumn("bucket", bucket)
     heads = sorted(
         (r["bucket"], r["head"]["key"], r["head"]["hash"])
@@ -150,6 +176,31 @@ def in_sequence(docs: DataFrame, key: str, text: str, parts: int) -> DataFrame:
     )
 
 
+def _ranges(docs: DataFrame, key: str, parts: int) -> list[tuple[int, int, int]]:
+    """Upper ends (whether there is a key, key, hash) of all ranges but the last, ascending."""
+    shares = [i / parts for i in range(1, parts)]
+    if not shares:
+        return []
+    found = docs.agg(
+        F.percentile_approx(docs[key].cast("long"), shares, F.lit(100 * parts)).alias("q"),
+        F.count(docs[key]).alias("keys"), F.count(F.lit(1)).alias("rows"),
+    ).first()
+    if not found["rows"]:
+        return []
+    least, most = -(1 << 63), (1 << 63) - 1
+
+    def cut_up(there: int, value: int, times: int) -> list[tuple[int, int, int]]:
+        """Ends of a value's ranges of hashes; before them the end of what is smaller."""
+        inner = [(there, value, least + (i << 64) // times) for i in range(1, times)]
+        return [*([(there, value, least)] if inner and there else []), *inner, (there, value, most)]
+
+    nulls = found["rows"] - found["keys"]
+    cuts = cut_up(0, 0, max(1, round(parts * nulls / found["rows"]))) if nulls else []
+    for value, times in sorted(Counter(found["q"] or []).items()):
+        cuts += cut_up(1, value, times)
+    return cuts
+
+
 def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edited text, with their likeness.
 
@@ -179,8 +230,8 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text")
                     pairs.append((*waiting[:3], texts[i], lanes[i]))
                 waiting = None if closing[i] else (keys[i], texts[i], lanes[i], buckets[i])
             changed = [edited(p[1], p[3]) for p in pairs]
-            own = np.array([p[2] for p in pairs], np.uint16).reshape(-1, LANES)
-            following = np.array([p[4] for p in pairs], np.uint16).reshape(-1, LANES)
+            own = np.array([p[2] for p in pairs], np.uint64).reshape(-1, LANES)
+            following = np.array([p[4] for p in pairs], np.uint64).reshape(-1, LANES)
             after = fingerprint(changed)
             yield pa.RecordBatch.from_arrays(
                 [
