@@ -29,6 +29,19 @@ def base_licences(text):
     return len(words), sorted(found)
 
 
+def licence_labels(text, templates, idf, threshold=0.8):
+    """Labels found by comparing every template at every start, also before the first word."""
+    words, found = LICENCE_WORDS.findall(ascii_lower(text or "")), set()
+    for t in templates:
+        whole, fixed = sum(idf[w] for w in t.words), t.fixed_places()
+        for start in range(-len(t.words), len(words)):
+            agree = [0 <= start + i < len(words) and words[start + i] == w for i, w in enumerate(t.words)]
+            weight = sum(idf[w] for w, a in zip(t.words, agree, strict=True) if a) / whole
+            if all(agree[i] for i in fixed) and round(min(weight, 1), 6) >= threshold:
+                found.add(t.label)
+    return ",".join(sorted(found))
+
+
 def simhash(text, shingle=4):
     words = BLANKS.findall(ascii_lower(text or ""))
     if not words:

@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from plain import base_licences, fingerprint_hex, likeness, viterbi
+from plain import base_licences, fingerprint_hex, licence_labels, likeness, viterbi
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -70,6 +70,52 @@ def test_licence_templates_need_their_mandatory_phrase(spark):
     assert found[2].labels == "" and 0.8 < found[2].score < 1
 
 
+def altered_notices():
+    """Notices and variants of each with one or two words replaced, in odd surroundings."""
+    rng = random.Random(11)
+    rows = []
+    for t in licences.TEMPLATES:
+        for gone in range(0, 3):
+            for _ in range(6):
+                words = list(t.words)
+                for place in rng.sample(range(len(words)), min(gone, len(words))):
+                    words[place] = rng.choice(["related", "acquiring", "x", "license", "public"])
+                cut = rng.choice([0, 0, 1])
+                rows.append(" ".join(["license"] * rng.randrange(3) + words[cut:] + ["the"] * rng.randrange(3)))
+    return rows
+
+
+@pytest.mark.parametrize("templates", [licences.TEMPLATES, (
+    licences.Template("free", "one two three four five six seven eight nine ten eleven twelve"),
+    licences.Template("pair", "alpha beta"), *licences.BASE,
+)])
+def test_no_licence_goes_without_a_look_up(spark, templates):
+    texts = altered_notices() + ["one two three x five six seven eight nine y eleven twelve"] * 2 + [
+        " ".join(w if random.Random(i).random() < 0.85 else "z" for w in templates[0].words) for i in range(60)
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words = df.select(licences.words_of(F.col("text")).alias("words"))
+    idf = licences.inverse_frequency(words, sorted({w for t in templates for w in t.words}))
+    for r in licences.scan(df, templates).collect():
+        assert r.labels == licence_labels(texts[r.doc_id], templates, idf), texts[r.doc_id]
+
+
+def test_the_opening_without_its_rarest_words_is_found(spark):
+    """Both of the rarest words are altered; the mandatory phrase is whole."""
+    t = next(t for t in licences.TEMPLATES if t.label == "mit-text")
+    fixed = set(t.fixed_places())
+    others = sorted(set(t.words) - {t.words[i] for i in fixed})
+    texts = [" ".join("zz" if w in ("obtaining", "associated") else w for w in t.words)]
+    texts += [" ".join(w for w in others if w not in ("obtaining", "associated"))] * 50 + [" ".join(t.words[i] for i in fixed)] * 50
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words = df.select(licences.words_of(F.col("text")).alias("words"))
+    idf = licences.inverse_frequency(words, sorted({w for t in licences.TEMPLATES for w in t.words}))
+    rarest = sorted(range(len(t.words)), key=lambda i: (-idf[t.words[i]], i))[:2]
+    assert {t.words[i] for i in rarest} == {"obtaining", "associated"}
+    found = {r.doc_id: r for r in licences.scan(df).collect()}[0]
+    assert found.score > 0 and found.labels == licence_labels(texts[0], licences.TEMPLATES, idf)
+
+
 def test_licence_scan_runs_no_python_and_no_join(docs):
     plan = licences.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Join|Exchange", plan)

@@ -98,12 +98,29 @@ def inverse_frequency(words: DataFrame, vocabulary: list[str]) -> dict[str, floa
     return {w: 1 + math.log((n.get("", 0) + 1) / (n.get(w, 0) + 1)) for w in vocabulary}
 
 
-def _literal_index(templates: tuple[Template, ...], idf: dict[str, float], rare: int):
-    """Postings of each template's rarest words, and the templates, as constant columns."""
+def posted_places(t: Template, idf: dict[str, float], rare: int, threshold: float) -> list[int]:
+    """Places of the words that find a template: no text that has it goes without one of them.
+
+    The rarest word of the mandatory phrases has to be there. Without such phrases, so many of the rarest
+    words are posted that a text without any would miss more weight than the threshold leaves.
+    """
+    by_rarity = sorted(range(len(t.words)), key=lambda i: (-idf[t.words[i]], i))
+    fixed = set(t.fixed_places())
+    if t.base:
+        return by_rarity[:1]
+    if fixed:
+        return sorted({*by_rarity[:rare], next(i for i in by_rarity if i in fixed)})
+    total, missed, n = sum(idf[w] for w in t.words), 0.0, 0
+    while n < len(by_rarity) and (n < rare or missed <= (1 - threshold) * total + 1e-6):
+        missed, n = missed + idf[t.words[by_rarity[n]]], n + 1
+    return sorted(by_rarity[:n])
+
+
+def _literal_index(templates: tuple[Template, ...], idf: dict[str, float], rare: int, threshold: float):
+    """Postings of the words that find each template, and the templates, as constant columns."""
     postings, table = [], []
     for number, t in enumerate(templates):
-        by_rarity = sorted(range(len(t.words)), key=lambda i: (-idf[t.words[i]], i))
-        for place in by_rarity[:1 if t.base else rare]:
+        for place in posted_places(t, idf, rare, threshold):
             postings.append((t.words[place], number, place))
         total = sum(idf[w] for w in t.words)
         fixed = set(t.fixed_places())
@@ -127,8 +144,8 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, threshold
 
     The words of all templates are weighted by inverse document frequency over the whole table.
     Each file's occurrences of the templates' rarest words (one of a base phrase, ``rare`` of a
-    longer template) are looked up in the templates' postings; place in the file less place in the
-    template gives a start. At each start the template's words are compared by relative position. A
+    longer template and the rarest of its mandatory phrases, see ``posted_places``) are looked up in the
+    templates' postings; place in the file less place in the template gives a start. At each start the template's words are compared by relative position. A
     template is found if its mandatory phrases are there in full and the weight of the words that
     agree is at least ``threshold`` of the whole.
 
@@ -140,7 +157,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, threshold
     """
     rows = docs.select(docs[key].alias("key"), words_of(text_or_empty(text)).alias("words"))
     idf = inverse_frequency(rows, sorted({w for t in templates for w in t.words}))
-    anchors, postings, table = _literal_index(templates, idf, rare)
+    anchors, postings, table = _literal_index(templates, idf, rare, threshold)
     is_anchor = lambda w: w.isin(anchors)
     places = F.filter(F.transform("words", lambda w, i: F.when(is_anchor(w), i)), lambda i: i.isNotNull())
     starts = F.flatten(F.transform("anchors", lambda i: F.transform(

@@ -27,12 +27,13 @@ WITH templates(t, label, base, place, word, fixed) AS (VALUES
     FROM (SELECT DISTINCT word FROM templates) v LEFT JOIN has ON v.word = has.word
 ), weighted AS (
     SELECT templates.*, idf / sum(idf) OVER (PARTITION BY t) AS weight,
-           row_number() OVER (PARTITION BY t ORDER BY idf DESC, place) AS rarity
+           row_number() OVER (PARTITION BY t ORDER BY idf DESC, place) AS rarity,
+           fixed AND row_number() OVER (PARTITION BY t, fixed ORDER BY idf DESC, place) = 1 AS rarest_fixed
     FROM templates JOIN idf ON templates.word = idf.word
 ), starts AS (
     SELECT DISTINCT places.doc_id, a.t, places.i - a.place AS start
     FROM places JOIN weighted a ON places.word = a.word
-    WHERE a.rarity <= CASE WHEN a.base THEN 1 ELSE 2 END
+    WHERE a.rarity <= CASE WHEN a.base THEN 1 ELSE 2 END OR a.rarest_fixed
 ), compared AS (
     SELECT s.doc_id, s.start, w.label, w.base,
            bool_and(NOT w.fixed OR coalesce(p.word = w.word, FALSE)) AS fixed,
