@@ -1,6 +1,7 @@
 """What the operators of this subpackage share: worker settings, shared scratch tables, row texts."""
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -26,11 +27,13 @@ def prepare(spark: SparkSession) -> None:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share.
 
-    That is ``spark.checkpoint.dir``. Only where it is unset, as in tests on one machine, a
-    temporary folder takes its place.
+    That is ``spark.checkpoint.dir``. Only where it is unset on a single machine, as in tests, a
+    temporary folder takes its place; a cluster has to name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tierlake-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tierlake/{name}-{uuid.uuid4().hex}"
