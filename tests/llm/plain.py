@@ -4,7 +4,7 @@ import base64
 import hashlib
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from fractions import Fraction
 
 import xxhash
@@ -212,3 +212,40 @@ def likeness(a, b):
     whole = sum(x * x + y * y for x, y in zip(sa, sb, strict=True))
     apart = sum((x - y) ** 2 for x, y in zip(sa, sb, strict=True))
     return max(0.0, 1 - apart / whole) if whole else 0.0
+
+
+def letter_trigrams(text):
+    """(letter before, letter, letter after) of each letter, lower-cased; "" where there is a gap."""
+    x = [(c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else "" for c in text or ""]
+    x = ["", *x, ""]
+    return [tuple(x[i - 1:i + 2]) for i in range(1, len(x) - 1) if x[i]]
+
+
+def mixture(text, samples, smoothing=0.05, kinds=1 << 16, penalty=3.0, rounds=100):
+    """Shares by language, and of letters in none of them (None), by EM and one-by-one elimination."""
+    seen = letter_trigrams(text)
+    chances = {None: [1 / kinds] * len(seen)}
+    for lang, texts in samples.items():
+        n = Counter(t for own in texts for t in letter_trigrams(own))
+        whole = sum(n.values()) + smoothing * kinds
+        chances[lang] = [(n[t] + smoothing) / whole for t in seen]
+
+    def fit(parts):
+        share = dict.fromkeys(parts, 1 / len(parts))
+        for _ in range(rounds):
+            whole = [sum(share[p] * chances[p][i] for p in parts) for i in range(len(seen))]
+            share = {p: share[p] * sum(c / w for c, w in zip(chances[p], whole, strict=True)) / len(seen) for p in parts}
+        whole = [sum(share[p] * chances[p][i] for p in parts) for i in range(len(seen))]
+        return share, sum(map(math.log, whole))
+
+    share, score = fit(list(chances))
+    main = max(samples, key=share.get)
+    tried = {main}
+    while left := [p for p in share if p not in tried]:
+        weakest = min(left, key=share.get)
+        fewer, its_score = fit([p for p in share if p != weakest])
+        if its_score + penalty * math.log(len(seen) + 1) >= score:
+            share, score = fewer, its_score
+        else:
+            tried.add(weakest)
+    return main, share

@@ -370,6 +370,26 @@ def test_stages_follow_the_plain_versions(spark, sf_dir):
     assert packed.agg(F.count_distinct("doc_id")).first()[0] == cleaned.count()
 
 
+def test_language_stage_rejects_letters_of_no_language(spark, sf_dir):
+    """Random letters go; a short text, one that quotes another language and one in all four stay."""
+    documents = queries.table(spark, sf_dir, "documents")
+    r = random.Random(5)
+    own = {}
+    for d in documents.where("text is not null").orderBy("doc_id").select("lang", "text").collect():
+        own.setdefault(d.lang, d.text)
+    first, second = sorted(own)[:2]
+    clean = {
+        -1: own[first][:30], -2: own[first][:900] + own[second][:500], -3: " ".join(t[:400] for t in own.values()),
+        -4: own[first] + " " + "".join(r.choices("bcdfghjklmnpqrstvwxz", k=40)),
+    }
+    junk = {-10 - i: " ".join("".join(r.choices("bcdfghjklmnpqrstvwxz", k=r.randrange(2, 10))) for _ in range(60)) for i in range(20)}
+    more = spark.createDataFrame([*clean.items(), *junk.items(), (-50, "1 2 3")], "doc_id long, text string")
+    kept = dict(corpus_pipeline.STAGES)["language"](spark, documents.unionByName(more, allowMissingColumns=True), sf_dir)
+    ids = [x.doc_id for x in kept.collect()]
+    assert len(ids) == documents.count() + len(clean) and set(clean) <= set(ids)
+    assert kept.columns == documents.columns
+
+
 def test_pipeline_of_odd_documents(spark, docs, tmp_path):
     odd = docs.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.length("text").cast("long").alias("n_chars"))
     odd.write.parquet(f"{tmp_path}/documents.parquet")

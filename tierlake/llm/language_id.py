@@ -1,4 +1,8 @@
-"""Language identification by mixtures: EM over letter trigrams, languages chosen by penalised likelihood."""
+"""Language identification by mixtures: EM over letter trigrams, languages chosen by penalised likelihood.
+
+A mixture has one component more than there are languages: in it every trigram is as likely as any other.
+It takes the letters that no learned language explains, and is kept or dropped like a language.
+"""
 
 import functools
 import tempfile
@@ -85,12 +89,14 @@ class Model:
         return Model(self.languages, own)
 
     def likelihood(self, bucket: np.ndarray, columns: np.ndarray) -> np.ndarray:
-        """Probability of each trigram (rows) in some languages (ascending columns)."""
-        blocks, at = np.unique(columns // BLOCK, return_index=True)
+        """Probability of each trigram (rows) in some languages (ascending columns; last: none of them)."""
+        known = columns[columns < len(self.languages)]
         parts = [
-            self.blocks[b].likelihood(bucket, own - b * BLOCK)
-            for b, own in zip(blocks, np.split(columns, at[1:]), strict=True)
+            self.blocks[b].likelihood(bucket, known[known // BLOCK == b] - b * BLOCK)
+            for b in np.unique(known // BLOCK)
         ]
+        if len(known) < len(columns):
+            parts.append(np.full((len(bucket), 1), 1 / BUCKETS))
         return parts[0] if len(parts) == 1 else np.concatenate(parts, axis=1)
 
 
@@ -218,7 +224,10 @@ def _block(column, bucket, n, width: int, smoothing: float) -> Block:
 
 def mixtures(bucket: np.ndarray, row: np.ndarray, rows: int, model: Model,
              settings: Settings) -> np.ndarray:
-    """Language proportions (rows by languages) of the letters given; zeros for rows without any."""
+    """Language proportions (rows by languages) of the letters given; zeros for rows without any.
+
+    What a row lacks to 1 is the share of letters in no learned language.
+    """
     out = np.zeros((rows, len(model.languages)))
     if not len(bucket) or not model.languages:
         return out
@@ -236,7 +245,7 @@ def mixtures(bucket: np.ndarray, row: np.ndarray, rows: int, model: Model,
         span = slice(starts[low], ends[high - 1])
         out[present[low:high]] = _estimate(
             model, bucket[span], counts[span].astype(float), starts[low:high] - starts[low], settings,
-        )
+        )[:, :-1]
         low = high
     return out
 
@@ -275,30 +284,32 @@ def _restrict(share, keep) -> np.ndarray:
 
 
 def _estimate(model, bucket, counts, starts, settings) -> np.ndarray:
-    """Shares of the languages that penalised likelihood keeps, and nothing else.
+    """Shares of the languages that penalised likelihood keeps and, last, of no language.
 
-    The weakest languages go together as long as the text loses less than the price of one by it, with
+    The largest language stays, however small, so that each text has one to name. The weakest languages go together as long as the text loses less than the price of one by it, with
     the other shares merely scaled up: so what any of them can gain is below its price. All others are
     tried one by one, weakest first; without one the shares are fitted anew.
     """
     sizes = np.diff(np.append(starts, len(counts)))
     letters = np.add.reduceat(counts, starts)
     price = settings.penalty * np.log(letters + 1)
-    n_languages = len(model.languages)
-    everything = np.full((len(starts), n_languages), 1 / n_languages)
+    n_parts = len(model.languages) + 1
+    everything = np.full((len(starts), n_parts), 1 / n_parts)
     share, score = _fit(model, bucket, counts, starts, everything, settings.rounds)
     keep = share > 0
     needed = np.zeros_like(keep)  # tried already
-    needed[np.arange(len(starts)), share.argmax(axis=1)] = True
+    main = np.arange(len(starts)), share[:, :-1].argmax(axis=1)
+    needed[main] = True
     while True:
         rows = np.flatnonzero((keep & ~needed).any(axis=1))
         if not len(rows):
+            share[main] = np.maximum(share[main], np.finfo(float).tiny)
             return share
         used = np.repeat(np.isin(np.arange(len(starts)), rows), sizes)
         own = bucket[used], counts[used], np.concatenate(([0], np.cumsum(sizes[rows])[:-1]))
         order = np.argsort(np.where(keep & ~needed, share, np.inf)[rows], axis=1, kind="stable")
         rank = np.empty_like(order)
-        np.put_along_axis(rank, order, np.arange(n_languages)[None, :], axis=1)
+        np.put_along_axis(rank, order, np.arange(n_parts)[None, :], axis=1)
         # The most that may go at once lies in [low, high).
         low = np.zeros(len(rows), np.int64)
         high = (keep & ~needed)[rows].sum(axis=1) + 1
@@ -317,11 +328,12 @@ def _estimate(model, bucket, counts, starts, settings) -> np.ndarray:
 
 def identify(docs: DataFrame, model: Model, settings: Settings = Settings(),
              text: str = "text") -> DataFrame:
-    """All columns as the struct ``row``, and lang_pred, score, languages, of every row.
+    """All columns as the struct ``row``, and lang_pred, score, unknown, languages, of every row.
 
     ``languages`` has each chosen language's proportion; lang_pred is the largest (ties: first by
-    name) and score its proportion. A null text, one without letter and every text under a model
-    without languages is ``und`` with score 0. Only the text decides. Keys may be null or repeated,
+    name) and score its proportion. ``unknown`` is the proportion of letters that no learned language
+    explains: a text of random letters has nearly 1, and a language's name all the same. A null text, one without letter and every text under a model
+    without languages is ``und`` with score and ``unknown`` 0. Only the text decides. Keys may be null or repeated,
     columns may have any names; an empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -344,13 +356,14 @@ def identify(docs: DataFrame, model: Model, settings: Settings = Settings(),
                     batch["row"],
                     pa.array([model.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]),
                     pa.array(np.where(known, share.max(axis=1, initial=0), 0.0).clip(0, 1)),
+                    pa.array(np.where(known, 1 - share.sum(axis=1), 0.0).round(12).clip(0, 1)),
                     pa.array(chosen, pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))),
                 ],
-                ["row", "lang_pred", "score", "languages"],
+                ["row", "lang_pred", "score", "unknown", "languages"],
             )
 
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text].alias("text"))
     found = T.StructType.fromDDL(
-        "lang_pred string, score double, languages array<struct<lang:string,share:double>>"
+        "lang_pred string, score double, unknown double, languages array<struct<lang:string,share:double>>"
     )
     return rows.mapInArrow(predict, T.StructType([rows.schema["row"], *found.fields]))

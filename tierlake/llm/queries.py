@@ -86,7 +86,7 @@ def op8_language_id(spark, sf_dir):
     found = language_id.identify(docs.select("doc_id", "text"), model)
     shares = F.transform("languages", lambda x: F.concat_ws(":", x["lang"], F.round(x["share"], 4)))
     return found.select(
-        F.col("row.doc_id").alias("doc_id"), "lang_pred", "score",
+        F.col("row.doc_id").alias("doc_id"), "lang_pred", "score", "unknown",
         F.concat_ws(",", shares).alias("shares"),
     ).withColumn("held_out", F.coalesce(is_held_out(), F.lit(False)))
 
