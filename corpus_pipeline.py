@@ -9,13 +9,13 @@ from tierlake.llm import language_id, packing, simhash, substrings
 from tierlake.llm.queries import BYTE_BPE, is_held_out, table
 from tierlake.llm.runtime import stored
 
-#: Share of its letters that a document's main language needs. Texts that quote passages in other
-#: languages are kept; one without any language of a third is not.
-MAIN_LANGUAGE = 1 / 3
+#: Share of a document's letters that may be in no learned language. Texts in several languages are
+#: kept, however evenly; random letters and languages that no label names are not.
+UNKNOWN_LETTERS = 0.5
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that have letters and a main language.
+    """Documents that have letters, most of them in learned languages.
 
     The model learns from the labelled documents of the input. Where none has a label there is
     nothing to judge by, and every document with a letter stays.
@@ -24,8 +24,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     found = language_id.identify(docs, model)
-    main = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MAIN_LANGUAGE)
-    return found.where(main).select("row.*")
+    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("unknown") <= UNKNOWN_LETTERS)
+    return found.where(known).select("row.*")
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
