@@ -1,5 +1,7 @@
 """Top-k, WARC, packing, near-duplicates, passages and the pipeline against plain versions."""
 
+import gzip
+import io
 import math
 import random
 import zlib
@@ -157,6 +159,54 @@ def test_existing_revisits_refer_to_the_original(spark, tmp_path):
     assert bytes(found["a"].payload) == b"body" and found["c"].payload is None and found["c"].payload_bytes == 4
 
 
+def record(kind, record_id, block, *lines):
+    head = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <{record_id}>", "WARC-Date: 2019-05-04T03:02:01Z", *lines]
+    return "\r\n".join([*head, f"Content-Length: {len(block)}", "", ""]).encode() + block + b"\r\n\r\n"
+
+
+def test_archives_of_others_lose_nothing(spark, tmp_path):
+    """Other kinds of records, HTTP heads, dates, ids, several fields of a name, blocks that are no HTTP."""
+    http = "Content-Type: application/http; msgtype=response"
+    image = b"HTTP/1.1 404 Not Found\r\nContent-Type: image/png\r\nX-Own: 1\r\nContent-Length: 4\r\n\r\n\x89P\xff\x00"
+    get = b"GET /a HTTP/1.1\r\nHost: u\r\n\r\n"
+    written = [
+        record("warcinfo", "urn:uuid:0", b"software: x\r\n", "Content-Type: application/warc-fields", "WARC-Filename: f"),
+        record("request", "urn:uuid:1", get, "WARC-Target-URI: http://u/a", "Content-Type: application/http; msgtype=request"),
+        record("response", "urn:uuid:2", image, "WARC-Target-URI: http://u/a", http, "WARC-IP-Address: 1.2.3.4",
+               "WARC-Concurrent-To: <urn:uuid:1>", "WARC-Concurrent-To: <urn:uuid:0>", "WARC-Block-Digest: sha1:X"),
+        record("response", "urn:uuid:3", image, "WARC-Target-URI: http://u/b", http),
+        record("response", "urn:uuid:4", b"20190504 u. IN A 1.2.3.4", "WARC-Target-URI: dns:u", "Content-Type: text/dns"),
+        record("revisit", "urn:uuid:5", b"HTTP/1.1 304 Not Modified\r\nETag: e\r\n\r\n", "WARC-Target-URI: http://u/c", http,
+               "WARC-Profile: http://p/server-not-modified", "WARC-Refers-To: <urn:uuid:99>", "WARC-Refers-To-Target-URI: http://old"),
+        record("metadata", "urn:uuid:6", b"", "Content-Type: text/plain"),
+    ]
+    source, target = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    (source / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, written)))  # a member per record
+    warc.resolve_revisits(spark, str(source), str(target))
+    found = {}
+    for file in target.glob("part-*"):
+        with gzip.open(file) as stream:
+            for fields, head, payload in warc.parse(stream):
+                found[fields["warc-record-id"].strip("<>")[-1]] = (fields, head, payload)
+    before = {}
+    for fields, head, payload in warc.parse(io.BytesIO(b"".join(written))):
+        before[fields["warc-record-id"].strip("<>")[-1]] = (fields, head, payload)
+    assert found.keys() == before.keys() == set("0123456")
+    for key, (fields, head, payload) in found.items():
+        old = before[key]
+        assert (head, payload) == (old[1], b"" if key == "3" else old[2])
+        changed = {"content-length", "warc-type", "warc-payload-digest", "warc-block-digest", "warc-profile", "warc-refers-to", "warc-refers-to-target-uri"}
+        assert {k: v for k, v in fields.items() if k not in changed} == {k: v for k, v in old[0].items() if k not in changed}
+        if key in "0156":
+            assert {k: v for k, v in fields.items() if k != "content-length"} == {k: v for k, v in old[0].items() if k != "content-length"}
+    assert found["3"][0]["warc-type"] == "revisit" and found["3"][0]["warc-refers-to"] == "<urn:uuid:2>"
+    assert found["3"][0]["warc-refers-to-target-uri"] == "http://u/a"
+    warc.resolve_revisits(spark, str(target), f"{tmp_path}/again")
+    rows = {r.record_id: r for r in warc.read_archive(spark, f"{tmp_path}/again", whole=True).collect()}
+    assert len(rows) == 7 and rows["urn:uuid:3"].refers_to == "urn:uuid:2" and rows["urn:uuid:3"].payload_bytes == 4
+
+
 # -- packing -----------------------------------------------------------------------
 
 

@@ -17,6 +17,18 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Records of one archive file. It bounds what one task holds when it reads the file back.
 RECORDS_PER_FILE = 2000
 URN = "urn:record:"
+#: Between the values of a field that a record has several times, such as WARC-Concurrent-To.
+REPEATED = "\n"
+HTTP_TYPE = "application/http; msgtype=response"
+#: The HTTP head of a record that has none of its own, up to the length of its payload.
+HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
+#: Columns that only archives of others need, and the header fields that records are given afresh.
+CARRIED = ("kind", "date", "content_type", "head", "profile", "extra")
+FRESH = {"warc-type", "warc-record-id", "warc-date", "warc-target-uri", "content-type", "content-length"}
+FRESH_REVISIT = {
+    "warc-payload-digest", "warc-block-digest", "warc-refers-to", "warc-refers-to-target-uri",
+    "warc-refers-to-date", "warc-profile",
+}
 
 
 def payload_digest(payload: Column) -> Column:
@@ -36,29 +48,44 @@ def _line(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), clean, F.lit("\r\n")), F.lit(""))
 
 
+def _bracketed(record_id: Column) -> Column:
+    """A record id as header lines have it: URNs of others as they are, own ids below a prefix."""
+    own = F.when(record_id.startswith("urn:"), record_id).otherwise(F.concat(F.lit(URN), record_id))
+    return F.concat(F.lit("<"), own, F.lit(">"))
+
+
 def write_archive(records: DataFrame, path: str, date: str | None = None) -> None:
     """Write records as gzipped WARC 1.1 files, a revisit without its payload.
 
     Columns: record_id, target_uri (null: left out), payload (null for a revisit that has none),
-    payload_bytes, payload_digest, refers_to (null for a response), refers_to_uri.
+    payload_bytes, payload_digest, refers_to (null for a response), refers_to_uri. Those in
+    ``CARRIED`` may be there, and null: kind (a record neither response nor revisit; its payload is
+    its whole block), date, content_type and head (of the block; with a content_type alone the
+    payload is the whole block), profile (of a revisit), extra (further header lines).
     """
     date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
-    revisit = F.col("refers_to").isNotNull()
-    http = F.concat(
-        F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
-        F.col("payload_bytes").cast("string"), F.lit("\r\n\r\n"),
+    records = records.withColumns(
+        {c: F.lit(None).cast("string") for c in CARRIED if c not in records.columns}
+    )
+    captured = F.col("kind").isNull()
+    revisit = captured & F.col("refers_to").isNotNull()
+    made = F.concat(F.lit(HTTP_HEAD), F.col("payload_bytes").cast("string"), F.lit("\r\n\r\n"))
+    http = (
+        F.when(F.col("head").isNotNull(), F.concat("head", F.lit("\r\n\r\n")))
+        .when(~captured | F.col("content_type").isNotNull(), "").otherwise(made)
     )
     block = F.concat(http, F.when(revisit, F.lit("")).otherwise(F.coalesce("payload", F.lit(""))))
-    urn = lambda c: F.concat(F.lit(f"<{URN}"), c, F.lit(">"))
     head = F.concat(
-        F.lit("WARC/1.1\r\nWARC-Type: "), F.when(revisit, "revisit").otherwise("response"),
-        F.lit("\r\n"), _line("WARC-Record-ID", urn(F.col("record_id"))),
-        _line("WARC-Date", F.lit(date)), _line("WARC-Target-URI", F.col("target_uri")),
-        _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
-        _line("WARC-Refers-To", urn(F.col("refers_to"))),
+        F.lit("WARC/1.1\r\nWARC-Type: "),
+        F.coalesce("kind", F.when(revisit, "revisit").otherwise("response")),
+        F.lit("\r\n"), _line("WARC-Record-ID", _bracketed(F.col("record_id"))),
+        _line("WARC-Date", F.coalesce("date", F.lit(date))), _line("WARC-Target-URI", F.col("target_uri")),
+        _line("WARC-Payload-Digest", F.when(captured, F.concat(F.lit("sha1:"), F.col("payload_digest")))),
+        _line("WARC-Refers-To", F.when(revisit, _bracketed(F.nullif("refers_to", F.lit(""))))),
         _line("WARC-Refers-To-Target-URI", F.when(revisit, F.col("refers_to_uri"))),
-        _line("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
-        F.lit("Content-Type: application/http; msgtype=response\r\n"),
+        _line("WARC-Profile", F.when(revisit, F.coalesce("profile", F.lit(PROFILE)))),
+        _line("Content-Type", F.coalesce("content_type", F.when(captured, F.lit(HTTP_TYPE)))),
+        F.coalesce("extra", F.lit("")),
     )
     text = F.concat(
         head, _line("Content-Length", F.octet_length(block).cast("string")), F.lit("\r\n"), block
@@ -76,10 +103,14 @@ def parse(stream) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
             continue
         if not line.startswith(b"WARC/"):
             raise ValueError(f"no WARC record where one should begin: {line[:40]!r}")
-        fields = {}
+        fields, name = {}, ""
         while (line := stream.readline()).strip():
-            name, _, value = line.decode().partition(":")
-            fields[name.strip().lower()] = value.strip()
+            if line[:1] in b" \t" and name:  # a folded line goes on with the value before
+                fields[name] += " " + line.decode(errors="replace").strip()
+                continue
+            name, _, value = line.decode(errors="replace").partition(":")
+            name = name.strip().lower()
+            fields[name] = f"{fields[name]}{REPEATED}{value.strip()}" if name in fields else value.strip()
         size = int(fields["content-length"])
         block = stream.read(size)
         if len(block) != size:
@@ -90,12 +121,32 @@ def parse(stream) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
         yield fields, head, payload
 
 
-def read_archive(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
+def carried(kind: str, fields: dict[str, str], head: bytes, size: int | None) -> dict[str, str | bytes | None]:
+    """What ``write_archive`` needs of a record beside its payload; null what it writes by itself."""
+    captured = kind in ("response", "revisit")
+    fresh = FRESH | FRESH_REVISIT if captured else FRESH
+    lines = [
+        f"{'-'.join(x.upper() if x in ('warc', 'ip', 'id', 'uri') else x.title() for x in name.split('-'))}: {v}\r\n"
+        for name, value in fields.items() if name not in fresh for v in value.split(REPEATED)
+    ]
+    usual = captured and fields.get("content-type") == HTTP_TYPE and head == f"{HTTP_HEAD}{size}".encode()
+    return {
+        "kind": None if captured else kind, "date": fields.get("warc-date"),
+        "content_type": None if usual else fields.get("content-type", "application/octet-stream" if captured else None),
+        "head": head if captured and head and not usual else None,
+        "profile": fields.get("warc-profile") if kind == "revisit" else None,
+        "extra": "".join(lines) or None, "refers_to_uri": fields.get("warc-refers-to-target-uri"),
+    }
+
+
+def read_archive(spark: SparkSession, path: str, with_payload: bool = True, whole: bool = False) -> DataFrame:
     """One row per response or revisit record, plain or gzipped files alike.
 
     Columns: file, ordinal (its place in the file), record_type, record_id, target_uri, refers_to,
     payload_bytes, payload_digest and, ``with_payload``, payload. Length and digest of a response
-    are taken from its payload, those of a revisit from its headers. Other records are left out.
+    are taken from its payload, those of a revisit from its headers (null where they do not tell).
+    Other records are left out, unless ``whole``: then they are there with their block as payload, and
+    all rows have refers_to_uri and the columns in ``CARRIED``.
     """
     prepare(spark)
 
@@ -108,8 +159,11 @@ def read_archive(spark: SparkSession, path: str, with_payload: bool = True) -> D
                 rows = []
                 for ordinal, (fields, head, payload) in enumerate(parse(stream)):
                     kind = fields.get("warc-type")
-                    if kind not in ("response", "revisit"):
+                    captured = kind in ("response", "revisit")
+                    if not captured and not whole:
                         continue
+                    if not captured:
+                        payload = head + b"\r\n\r\n" + payload if head else payload
                     size, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
                     if kind == "revisit":
                         size = _http_length(head)
@@ -120,7 +174,8 @@ def read_archive(spark: SparkSession, path: str, with_payload: bool = True) -> D
                         "target_uri": fields.get("warc-target-uri"),
                         "refers_to": _urn(fields.get("warc-refers-to")), "payload_bytes": size,
                         "payload_digest": digest,
-                        **({"payload": payload if kind == "response" else None} if with_payload else {}),
+                        **({"payload": payload if kind != "revisit" else None} if with_payload else {}),
+                        **(carried(kind, fields, head, size) if whole else {}),
                     })
                     if len(rows) == 256:
                         yield pa.RecordBatch.from_pylist(rows, schema)
@@ -132,13 +187,16 @@ def read_archive(spark: SparkSession, path: str, with_payload: bool = True) -> D
         ("record_id", pa.string()), ("target_uri", pa.string()), ("refers_to", pa.string()),
         ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
         *([("payload", pa.binary())] if with_payload else []),
+        *([(c, pa.binary() if c == "head" else pa.string()) for c in ("refers_to_uri", *CARRIED)] if whole else []),
     ])
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     ddl = (
         "file string, ordinal long, record_type string, record_id string, target_uri string,"
         " refers_to string, payload_bytes long, payload_digest string"
     )
-    return files.mapInArrow(records, ddl + (", payload binary" if with_payload else ""))
+    ddl += ", payload binary" if with_payload else ""
+    ddl += "".join(f", {c} {'binary' if c == 'head' else 'string'}" for c in ("refers_to_uri", *CARRIED)) if whole else ""
+    return files.mapInArrow(records, ddl)
 
 
 def _urn(value: str | None) -> str | None:
@@ -183,11 +241,14 @@ def resolve_revisits(spark: SparkSession, source: str, target: str, order: Colum
     """Write the archives of ``source`` to ``target`` with every repeated payload as a revisit.
 
     ``order`` (of record columns, default the record id) tells which of equal payloads is the
-    original. Headers are written afresh, also those of revisits whose original is another now.
+    original. Headers are written afresh, also those of revisits whose original is another now. What
+    does not depend on the original is carried through: dates, HTTP heads, content types, further
+    header fields (those that occur several times too) and records of other kinds with their blocks.
+    A block's digest is left out, as blocks change.
     """
     order = F.col("record_id") if order is None else order
     repeats = originals(read_archive(spark, source, with_payload=False), order, min_bytes)
-    records = read_archive(spark, source)
+    records = read_archive(spark, source, whole=True)
     joined = records.join(
         repeats, (records["file"] == repeats["at_file"]) & (records["ordinal"] == repeats["at_ordinal"]),
         "left",
@@ -196,7 +257,8 @@ def resolve_revisits(spark: SparkSession, source: str, target: str, order: Colum
         joined.select(
             "record_id", "target_uri", F.col("payload").cast("string").alias("payload"),
             "payload_bytes", "payload_digest", F.col("original_id").alias("refers_to"),
-            F.col("original_uri").alias("refers_to_uri"),
+            F.coalesce("original_uri", "refers_to_uri").alias("refers_to_uri"),
+            *[F.col(c).cast("string").alias(c) for c in CARRIED],
         ),
         target,
     )
