@@ -207,6 +207,35 @@ def test_archives_of_others_lose_nothing(spark, tmp_path):
     assert len(rows) == 7 and rows["urn:uuid:3"].refers_to == "urn:uuid:2" and rows["urn:uuid:3"].payload_bytes == 4
 
 
+@pytest.mark.parametrize("name", ["a.warc", "a.warc.gz"])
+def test_files_are_streams(spark, tmp_path, name):
+    """Blocks full of line breaks, around the ends of buffers and of splits, come back to the byte."""
+    r = random.Random(7)
+    blocks = [bytes(r.choices(b"\r\n\r\nab\xff", k=r.choice((0, 1, 5, 900, 65536, 131071)))) for _ in range(60)]
+    blocks += [b"\r\n\r\n", b"x\r\n\r\n", b"\r\n\r", b"WARC/1.1\r\n\r\n" * 9, b"y" * 300_000 + b"\r\n\r"]
+    for folder in ("1", "2"):
+        written = [record("resource", f"urn:x:{folder}:{i}", x, "Content-Type: text/plain") for i, x in enumerate(blocks)]
+        data = b"".join(map(gzip.compress, written) if name.endswith("gz") else written)
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / name).write_bytes(data)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        found = warc.read_archive(spark, f"{tmp_path}/*", whole=True).select("file", "ordinal", "record_id", "payload").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len({x.file for x in found}) == 2
+    expected = [(i, f"urn:x:{folder}:{i}", x) for folder in ("1", "2") for i, x in enumerate(blocks)]
+    assert sorted((x.ordinal, x.record_id, bytes(x.payload)) for x in found) == sorted(expected)
+    assert warc.read_archive(spark, f"{tmp_path}/*").count() == 0
+
+
+def test_a_cut_archive_is_refused(spark, tmp_path):
+    (tmp_path / "a.warc").write_bytes(record("response", "urn:x:1", b"z" * 99)[:-30])
+    with pytest.raises(Exception, match="ends before its length"):
+        warc.read_archive(spark, str(tmp_path)).collect()
+
+
 # -- packing -----------------------------------------------------------------------
 
 

@@ -1,21 +1,23 @@
 """WARC archives: write and read records, resolve revisits by payload digest."""
 
 import base64
-import gzip
 import hashlib
 import io
 from collections.abc import Iterator
 from datetime import datetime, timezone
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm.runtime import prepare, scratch
+from tierlake.llm.runtime import BATCH_BYTES, BATCH_ROWS, prepare, scratch
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Records of one archive file. It bounds what one task holds when it reads the file back.
+#: Records of one archive file. Files are read as streams, so their size bounds no task's memory.
 RECORDS_PER_FILE = 2000
+#: Ends each part of a record; files are cut at it into rows.
+SEPARATOR = "\r\n\r\n"
 URN = "urn:record:"
 #: Between the values of a field that a record has several times, such as WARC-Concurrent-To.
 REPEATED = "\n"
@@ -91,11 +93,48 @@ def write_archive(records: DataFrame, path: str, date: str | None = None) -> Non
         head, _line("Content-Length", F.octet_length(block).cast("string")), F.lit("\r\n"), block
     )
     (
-        records.select(text.alias("value")).write.option("lineSep", "\r\n\r\n")
+        records.select(text.alias("value")).write.option("lineSep", SEPARATOR)
         .option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
     )
 
 
+class Pieces(io.RawIOBase):
+    """The pieces between separators as one stream, a separator after each."""
+
+    def __init__(self, pieces: Iterator):
+        self.pieces = (part for piece in pieces for part in (piece, SEPARATOR.encode()))
+        self.rest = memoryview(b"")
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        while not self.rest:
+            piece = next(self.pieces, None)
+            if piece is None:
+                return 0
+            self.rest = memoryview(piece).cast("B")
+        n = min(len(buffer), len(self.rest))
+        buffer[:n] = self.rest[:n]
+        self.rest = self.rest[n:]
+        return n
+
+
+def pieces(spark: SparkSession, path: str) -> DataFrame:
+    """``file, value``: the files cut at the separators, each in one partition and in its order.
+
+    A gzipped file is one split, which Spark reads in order. Others are cut into splits; their pieces are
+    brought together by file and sorted by split and place, which spills where a file is large.
+    """
+    text = spark.read.option("lineSep", SEPARATOR).text(path)
+    place = [F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value")]
+    gzipped = F.col("_metadata.file_name").endswith(".gz")
+    split = F.col("_metadata.file_block_start").alias("split")
+    others = text.where(~gzipped).select(*place, split, F.monotonically_increasing_id().alias("at"))
+    others = others.repartition("file").sortWithinPartitions("file", "split", "at")
+    return text.where(gzipped).select(*place).unionByName(others.select("file", "value"))
+
+
 def parse(stream) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
     """Header fields (lower-case names), HTTP head and payload of each record of a file."""
     while line := stream.readline():
@@ -140,47 +179,51 @@ def carried(kind: str, fields: dict[str, str], head: bytes, size: int | None) ->
 
 
 def read_archive(spark: SparkSession, path: str, with_payload: bool = True, whole: bool = False) -> DataFrame:
-    """One row per response or revisit record, plain or gzipped files alike.
+    """One row per response or revisit record, plain or gzipped (``.gz``) files of any size alike.
 
     Columns: file, ordinal (its place in the file), record_type, record_id, target_uri, refers_to,
     payload_bytes, payload_digest and, ``with_payload``, payload. Length and digest of a response
     are taken from its payload, those of a revisit from its headers (null where they do not tell).
     Other records are left out, unless ``whole``: then they are there with their block as payload, and
-    all rows have refers_to_uri and the columns in ``CARRIED``.
+    all rows have refers_to_uri and the columns in ``CARRIED``. A task holds a record at a time and a
+    batch of rows. A file without the line breaks at its end is read as if it had them.
     """
     prepare(spark)
 
+    def row(file, ordinal, fields, head, payload):
+        kind = fields.get("warc-type")
+        if kind not in ("response", "revisit"):
+            payload = head + b"\r\n\r\n" + payload if head else payload
+        size, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        if kind == "revisit":
+            size = _http_length(head)
+            digest = fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
+        return {
+            "file": file, "ordinal": ordinal, "record_type": kind,
+            "record_id": _urn(fields.get("warc-record-id")),
+            "target_uri": fields.get("warc-target-uri"),
+            "refers_to": _urn(fields.get("warc-refers-to")), "payload_bytes": size,
+            "payload_digest": digest,
+            **({"payload": payload if kind != "revisit" else None} if with_payload else {}),
+            **(carried(kind, fields, head, size) if whole else {}),
+        }
+
     def records(batches):
-        for batch in batches:
-            for file, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
-                raw = io.BytesIO(memoryview(content.as_buffer()))
-                packed = raw.getbuffer()[:2] == b"\x1f\x8b"
-                stream = io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 20) if packed else raw
-                rows = []
-                for ordinal, (fields, head, payload) in enumerate(parse(stream)):
-                    kind = fields.get("warc-type")
-                    captured = kind in ("response", "revisit")
-                    if not captured and not whole:
-                        continue
-                    if not captured:
-                        payload = head + b"\r\n\r\n" + payload if head else payload
-                    size, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                    if kind == "revisit":
-                        size = _http_length(head)
-                        digest = fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
-                    rows.append({
-                        "file": file, "ordinal": ordinal, "record_type": kind,
-                        "record_id": _urn(fields.get("warc-record-id")),
-                        "target_uri": fields.get("warc-target-uri"),
-                        "refers_to": _urn(fields.get("warc-refers-to")), "payload_bytes": size,
-                        "payload_digest": digest,
-                        **({"payload": payload if kind != "revisit" else None} if with_payload else {}),
-                        **(carried(kind, fields, head, size) if whole else {}),
-                    })
-                    if len(rows) == 256:
-                        yield pa.RecordBatch.from_pylist(rows, schema)
-                        rows = []
-                yield pa.RecordBatch.from_pylist(rows, schema)
+        cut = (
+            (file, value.as_buffer()) for batch in batches
+            for file, value in zip(batch["file"].to_pylist(), batch["value"], strict=True)
+        )
+        rows, held = [], 0
+        for file, own in groupby(cut, key=lambda x: x[0]):
+            stream = io.BufferedReader(Pieces(value for _, value in own), 1 << 20)
+            for ordinal, (fields, head, payload) in enumerate(parse(stream)):
+                if whole or fields.get("warc-type") in ("response", "revisit"):
+                    rows.append(row(file, ordinal, fields, head, payload))
+                    held += len(payload) if with_payload else 0
+                if len(rows) >= BATCH_ROWS or held >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_pylist(rows, schema)
+                    rows, held = [], 0
+        yield pa.RecordBatch.from_pylist(rows, schema)
 
     schema = pa.schema([
         ("file", pa.string()), ("ordinal", pa.int64()), ("record_type", pa.string()),
@@ -189,14 +232,13 @@ def read_archive(spark: SparkSession, path: str, with_payload: bool = True, whol
         *([("payload", pa.binary())] if with_payload else []),
         *([(c, pa.binary() if c == "head" else pa.string()) for c in ("refers_to_uri", *CARRIED)] if whole else []),
     ])
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
     ddl = (
         "file string, ordinal long, record_type string, record_id string, target_uri string,"
         " refers_to string, payload_bytes long, payload_digest string"
     )
     ddl += ", payload binary" if with_payload else ""
     ddl += "".join(f", {c} {'binary' if c == 'head' else 'string'}" for c in ("refers_to_uri", *CARRIED)) if whole else ""
-    return files.mapInArrow(records, ddl)
+    return pieces(spark, path).mapInArrow(records, ddl)
 
 
 def _urn(value: str | None) -> str | None:
