@@ -5,7 +5,6 @@ It takes the letters that no learned language explains, and is kept or dropped l
 """
 
 import functools
-import tempfile
 from dataclasses import dataclass
 
 import numpy as np
@@ -60,16 +59,17 @@ class Block:
         out[np.repeat(np.arange(len(bucket)), size), self.column[at]] = self.probability[at]
         return out if len(columns) == out.shape[1] else out[:, columns]
 
-    def mapped(self) -> "Block":
-        """The same with its entries in an unnamed local file, which the system pages in as needed."""
-        def move(values):
-            if not len(values):
-                return values
-            with tempfile.TemporaryFile() as file:
-                values.tofile(file)
-                file.flush()
-                return np.memmap(file, values.dtype, "r", shape=values.shape)
-        return Block(move(self.starts), move(self.column), move(self.probability), self.base)
+
+@dataclass(frozen=True)
+class Resting:
+    """A broadcast block that is read from Spark's copy when asked, and let go of afterwards."""
+
+    block: Broadcast
+
+    def likelihood(self, bucket: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        found = self.block.value.likelihood(bucket, columns)
+        self.block.__dict__.pop("_value", None)  # what a broadcast keeps of a value once read
+        return found
 
 
 @dataclass(frozen=True)
@@ -82,11 +82,7 @@ class Model:
         """With blocks that can be read here; several are never in memory together."""
         if len(self.blocks) == 1:
             return Model(self.languages, [b.value if isinstance(b, Broadcast) else b for b in self.blocks])
-        own = []
-        for b in self.blocks:
-            own.append(b.value.mapped() if isinstance(b, Broadcast) else b)
-            b.__dict__.pop("_value", None)  # what a broadcast keeps of a value once read
-        return Model(self.languages, own)
+        return Model(self.languages, [Resting(b) if isinstance(b, Broadcast) else b for b in self.blocks])
 
     def likelihood(self, bucket: np.ndarray, columns: np.ndarray) -> np.ndarray:
         """Probability of each trigram (rows) in some languages (ascending columns; last: none of them)."""
