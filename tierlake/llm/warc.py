@@ -6,6 +6,7 @@ import io
 from collections.abc import Iterator
 from datetime import datetime, timezone
 from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -99,11 +100,10 @@ def write_archive(records: DataFrame, path: str, date: str | None = None) -> Non
 
 
 class Pieces(io.RawIOBase):
-    """The pieces between separators as one stream, a separator after each."""
+    """Pieces of bytes as one stream."""
 
-    def __init__(self, pieces: Iterator):
-        self.pieces = (part for piece in pieces for part in (piece, SEPARATOR.encode()))
-        self.rest = memoryview(b"")
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces, self.rest = pieces, memoryview(b"")
 
     def readable(self) -> bool:
         return True
@@ -113,7 +113,7 @@ class Pieces(io.RawIOBase):
             piece = next(self.pieces, None)
             if piece is None:
                 return 0
-            self.rest = memoryview(piece).cast("B")
+            self.rest = memoryview(piece)
         n = min(len(buffer), len(self.rest))
         buffer[:n] = self.rest[:n]
         self.rest = self.rest[n:]
@@ -209,13 +209,14 @@ def read_archive(spark: SparkSession, path: str, with_payload: bool = True, whol
         }
 
     def records(batches):
-        cut = (
-            (file, value.as_buffer()) for batch in batches
-            for file, value in zip(batch["file"].to_pylist(), batch["value"], strict=True)
+        first = itemgetter(0)
+        joined = (  # what a batch has of a file, a separator after each piece
+            (file, SEPARATOR.encode().join([*map(itemgetter(1), own), b""])) for batch in batches
+            for file, own in groupby(zip(batch["file"].to_pylist(), batch["value"].to_pylist(), strict=True), first)
         )
         rows, held = [], 0
-        for file, own in groupby(cut, key=lambda x: x[0]):
-            stream = io.BufferedReader(Pieces(value for _, value in own), 1 << 20)
+        for file, own in groupby(joined, first):
+            stream = io.BufferedReader(Pieces(map(itemgetter(1), own)), 1 << 20)
             for ordinal, (fields, head, payload) in enumerate(parse(stream)):
                 if whole or fields.get("warc-type") in ("response", "revisit"):
                     rows.append(row(file, ordinal, fields, head, payload))
