@@ -5,7 +5,7 @@ import pytest
 
 from tests.conftest import NOW, dicts
 from tierlake import schemas
-from tierlake.operators import cleaning
+from tierlake.operators import cleaning, marts
 from tierlake.sources.store import ConstraintViolation
 
 USER = {
@@ -269,3 +269,13 @@ def test_unreadable_field_is_refused(spark, store, orders, users):
                 store.load(table, df)
     finally:
         spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
+def test_parsed_rows_are_not_broadcast(bronze):
+    """Spark's estimate of their size is far too small, also for what a mart makes of them."""
+    shops = cleaning.clean_entity(bronze("restaurant_id", {"restaurant_id": "r1"}), cleaning.RESTAURANTS, NOW)
+    users = cleaning.clean_entity(bronze("user_id", {"user_id": "u1"}), cleaning.USERS, NOW)
+    orders = cleaning.clean_orders(bronze("order_id", {"order_id": "o1"}), NOW)
+    for mart in (marts.daily_restaurant_sales(orders, shops), marts.user_totals(users, orders)):
+        plan = mart._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan

@@ -63,9 +63,12 @@ def string_only(v: Column) -> Column:
     return F.when(F.schema_of_variant(v) == "STRING", text_of(v))
 
 
-def elements(v: Column) -> Column:
-    """Elements of a JSON array, NULL if the value is anything else."""
-    return F.try_variant_get(v, "$", "array<variant>")
+def elements(v: Column, to: str = "variant") -> Column:
+    """Elements of a JSON array, NULL if the value is anything else.
+
+    One that is not of the type ``to`` is NULL; with a struct of variants, absent members are.
+    """
+    return F.try_variant_get(v, "$", f"array<{to}>")
 
 
 def is_falsy(v: Column) -> Column:

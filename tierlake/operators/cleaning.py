@@ -144,7 +144,10 @@ def _refuse_unreadable(
         key: F.when(~F.col("unreadable"), F.col(key)),
         "processed_at": timestamp(processed_at),
     })
-    return marked.drop("unreadable", *([] if with_record else RECORD))
+    rows = marked.drop("unreadable", *([] if with_record else RECORD))
+    # Spark takes parsed rows for far smaller than they are. Without the hint it would broadcast them, or
+    # what they are summed up to, at any size.
+    return rows.hint("merge")
 
 
 def clean_orders(bronze: DataFrame, processed_at: datetime, with_record: bool = False) -> DataFrame:
