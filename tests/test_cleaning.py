@@ -279,3 +279,21 @@ def test_parsed_rows_are_not_broadcast(bronze):
     for mart in (marts.daily_restaurant_sales(orders, shops), marts.user_totals(users, orders)):
         plan = mart._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_only_records_that_deduplication_keeps_are_cleaned(bronze):
+    """The rules lie above the window in the plan, and with latest records the parsing, too."""
+    orders = cleaning.clean_orders(bronze("order_id", {"order_id": "o1"}), NOW)
+    users = cleaning.clean_entity(bronze("user_id", {"user_id": "u1"}), cleaning.USERS, NOW)
+    for rows, costly in ((orders, "variant_get("), (users, "variant_get("), (users, "phone_number")):
+        above, _, below = rows._jdf.queryExecution().executedPlan().toString().partition("Window [")
+        assert costly in above and costly not in below
+
+
+def test_items_that_are_no_objects_have_defaults(orders):
+    items = [1, None, "x", {}, {"quantity": None}, {"item_id": 7, "unit_price": "2.5"}]
+    found = orders({**ORDER, "items": items}).first()["items"]
+    assert [tuple(i) for i in found] == [
+        (None, "Unknown Item", 1, D(0)), (None, "Unknown Item", 1, D(0)), (None, "Unknown Item", 1, D(0)),
+        (None, "Unknown Item", 1, D(0)), (None, "Unknown Item", None, D(0)), ("7", "Unknown Item", 1, D("2.5")),
+    ]
