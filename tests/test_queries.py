@@ -6,6 +6,7 @@ import sys
 import pytest
 
 import __spark_entry__ as entry
+from checks import cleaning_queries, file_queries
 from checks.catalog import ORACLES, QUERIES
 from checks.compare import connect, mismatch
 
@@ -80,3 +81,17 @@ def test_other_queries_need_no_training_data_part(module):
         " from checks.catalog import QUERIES as q; assert set(e.queries()) == set(q) == set(e.oracle_sql())"
     )
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
+def test_rows_are_ranged_before_records_are_made(spark, sf_dir):
+    for records in cleaning_queries.RAW_ENTITIES.values():
+        above, _, below = plan_of(records(spark, sf_dir, ranged=True)).partition("rangepartitioning")
+        assert "concat_ws(" in above and "concat_ws(" not in below
+
+
+def test_raw_lines_are_in_order_of_arrival(spark, sf_dir, tmp_path):
+    file_queries._raw_lines(spark, sf_dir, str(tmp_path))
+    for entity, records in cleaning_queries.RAW_ENTITIES.items():
+        files = sorted((tmp_path / "raw" / f"{entity}.jsonl").glob("part-*"))
+        texts = [line for f in files for line in f.read_text().splitlines()]
+        assert texts == [r.raw_json for r in records(spark, sf_dir).orderBy("record_id").collect()]
