@@ -1,3 +1,4 @@
+import gzip
 import os
 import re
 import subprocess
@@ -95,3 +96,24 @@ def test_raw_lines_are_in_order_of_arrival(spark, sf_dir, tmp_path):
         files = sorted((tmp_path / "raw" / f"{entity}.jsonl").glob("part-*"))
         texts = [line for f in files for line in f.read_text().splitlines()]
         assert texts == [r.raw_json for r in records(spark, sf_dir).orderBy("record_id").collect()]
+
+
+def test_packed_raw_lines_are_the_same_lines(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(file_queries, "FILE_RECORDS", 100)
+    file_queries._raw_lines(spark, sf_dir, str(tmp_path), packed=True)
+    for entity, records in cleaning_queries.RAW_ENTITIES.items():
+        files = sorted((tmp_path / "raw" / f"{entity}.jsonl").glob("part-*"))
+        texts = [gzip.open(f, "rt").read().splitlines() for f in files]
+        assert max(map(len, texts)) <= 100
+        lines = [line for text in texts for line in text]
+        assert lines == [r.raw_json for r in records(spark, sf_dir).orderBy("record_id").collect()]
+        if len(lines) > 500:
+            assert sum(f.stat().st_size for f in files) < sum(map(len, lines)) / 3
+
+
+def test_a_rerun_packs_its_raw_lines(spark, sf_dir, tmp_path, monkeypatch):
+    """Beside them lie the tables of three runs."""
+    monkeypatch.setattr(file_queries, "_folder", lambda spark: str(tmp_path))
+    QUERIES["warehouse_rerun"](spark, sf_dir)
+    for entity in cleaning_queries.RAW_ENTITIES:
+        assert {f.suffix for f in (tmp_path / "raw" / f"{entity}.jsonl").glob("part-*")} == {".gz"}

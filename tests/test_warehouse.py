@@ -1,6 +1,8 @@
+import gzip
 import json
 import os
 import re
+import time
 from decimal import Decimal as D
 
 import pytest
@@ -11,6 +13,7 @@ from tierlake import ConstraintViolation, TableStore, run_warehouse, schemas
 from tierlake.operators import audits, marts
 from tierlake.plans.audit import audit_warehouse
 from tierlake.plans.warehouse import shuffles_for
+from tierlake.session import CLEANUP, settings, splits_of_text
 from tierlake.sources import raw_json
 
 USERS = [
@@ -187,6 +190,56 @@ def test_shuffle_partitions_follow_the_input(spark):
         assert spark.conf.get(key) == "40000"
 
 
+def test_compressed_lines_give_the_same_tables(run, spark, tmp_path):
+    raw = write_raw(tmp_path / "raw", "lines")
+    for entity in RAW:
+        text = (tmp_path / "raw" / f"{entity}.jsonl").read_text()
+        (tmp_path / "raw" / f"{entity}.jsonl").unlink()
+        (tmp_path / "raw" / f"{entity}.jsonl").mkdir()
+        for number, line in enumerate(text.splitlines()):
+            with gzip.open(tmp_path / "raw" / f"{entity}.jsonl" / f"part-{number}.txt.gz", "wt") as file:
+                file.write(line + "\n")
+    store = TableStore(spark, str(tmp_path / "warehouse"))
+    run_warehouse(spark, raw, store.root, "lines")
+    for table in (*schemas.SILVER, *schemas.GOLD):
+        assert dicts(store.read(table)) == dicts(run[1].read(table)), table
+
+
+def test_text_of_compressed_files_decides_on_splits_and_shuffles(spark, tmp_path):
+    assert raw_json.sizes(spark, str(tmp_path / "none")) == (0, 0)
+    (tmp_path / "raw" / "a").mkdir(parents=True)
+    assert raw_json.sizes(spark, str(tmp_path / "raw")) == (0, 0)
+    (tmp_path / "raw" / "a" / "part-1.txt.gz").write_bytes(b"x" * 10)
+    (tmp_path / "raw" / "b.jsonl").write_bytes(b"x" * 5)
+    assert raw_json.sizes(spark, str(tmp_path / "raw")) == (15, 10 * raw_json.EXPANSION + 5)
+    key, mb = "spark.sql.files.maxPartitionBytes", 1024**2
+    before = spark.conf.get(key)
+    with settings(spark, {key: "128m"}):
+        assert splits_of_text(spark, 1) == splits_of_text(spark, 0) == {key: str(128 * mb)}
+        assert splits_of_text(spark, 8) == {key: str(16 * mb)}
+        assert splits_of_text(spark, 1000) == {key: str(4 * mb)}
+    with settings(spark, {key: "1m"}):  # never above the session's own
+        assert splits_of_text(spark, 8) == {key: str(mb)}
+    assert spark.conf.get(key) == before
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {n for folder in folders for _, _, names in os.walk(folder) for n in names if n.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("layout,bucket_bytes", [("lines", None), ("lines", 0), ("array", 0)])
+def test_a_run_leaves_no_shuffle_files(spark, tmp_path, layout, bucket_bytes):
+    before = shuffle_files(spark)
+    raw = write_raw(tmp_path / "raw", layout)
+    run_warehouse(spark, raw, str(tmp_path / "warehouse"), layout, bucket_bytes=bucket_bytes)
+    until = time.monotonic() + 10
+    while (left := shuffle_files(spark) - before) and time.monotonic() < until:
+        time.sleep(0.2)  # they are removed in the background
+    assert not left
+    assert spark.conf.get(*CLEANUP, None) is None  # callers may run a plan again
+
+
 def test_audit_of_the_warehouse(run):
     rows = {(r.audit, r.table_name, r.subject): r.found for r in audit_warehouse(run[1]).collect()}
     found = {k: n for k, n in rows.items() if n and k[0] != "rows"}
